@@ -50,7 +50,7 @@ def reference_status(refs: DataFrame, parents: DataFrame, hot_rows: int = HOT_RO
     r = r.join(hot, F.col("_rs_key") == F.col("hot_key"), "left")
     r = r.select(
         "_rs_key",
-        F.when(F.col("salts") > 1, F.pmod(F.xxhash64("_rs_ts", F.to_json("_rs_row")), F.col("salts")).cast("int")).otherwise(F.lit(0)).alias("_rs_salt"),
+        F.when(F.col("salts") > 1, F.pmod(F.xxhash64("_rs_row"), F.col("salts")).cast("int")).otherwise(F.lit(0)).alias("_rs_salt"),
         "_rs_ts", F.lit(2).alias("_rs_order"), F.lit(0).alias("_rs_delta"), F.lit(0).alias("_rs_known"), F.lit(0).alias("_rs_open"), "_rs_row",
     )
     p = (
