@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import q7
+from lexloom.llm import q7, q8
 
-MODULES = [q7]
+MODULES = [q7, q8]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
