@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.llm import q1, q3, q7, q8, q9
+from lexloom.llm import q1, q3, q4, q7, q8, q9
 
-MODULES = [q1, q3, q7, q8, q9]
+MODULES = [q1, q3, q4, q7, q8, q9]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
