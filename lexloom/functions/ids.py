@@ -57,3 +57,111 @@ def proper_target(c: Column) -> Column:
         .when(low.rlike(federal), F.concat(F.lit("usc:"), bare(F.regexp_extract(low, federal, 1))))
         .otherwise(proper_section(c))
     )
+
+
+SECTION = r"(?:\d{3}[A-Z]?:\d+[A-Z]?-\d+(?:\.\d+)?|\d+[A-Z]?-\d+(?:\.\d+)?)"
+
+
+def statute_key(num: Column) -> Column:
+    """Natural order of statute numbers: (chapter, its letter, numbers behind)."""
+    chapter = F.regexp_extract(num, r"^(\d+)", 1)
+    rest = F.regexp_extract_all(F.regexp_replace(num, r"^\d+[A-Za-z]*", ""), F.lit(r"\d+"), F.lit(0))
+    return F.struct(F.when(chapter != "", chapter.cast("long")).otherwise(F.lit(10**9)).alias("chapter"), F.regexp_extract(num, r"^\d+([A-Za-z]*)", 1).alias("letter"), F.transform(rest, lambda x: x.cast("long")).alias("rest"))
+
+
+def rule_key(num: Column) -> Column:
+    """Natural order of rule numbers: per part (number, decimals or -1, letter); what can't be read comes last."""
+    def part(x: Column) -> Column:
+        n = F.regexp_extract(x, r"^(\d+)", 1)
+        d = F.regexp_extract(x, r"^\d+[A-Za-z]*\.(\d+)", 1)
+        return F.struct(F.when(n != "", n.cast("long")).otherwise(F.lit(10**9)).alias("n"), F.when(d != "", d.cast("long")).otherwise(F.lit(-1)).alias("d"), F.regexp_extract(x, r"([A-Za-z]*)$", 1).alias("s"))
+
+    return F.transform(F.split(num, "-"), part)
+
+
+def valid_section(c: Column) -> Column:
+    """A statute number without its pin cite in capital letters, or null if it is none."""
+    s = F.upper(F.regexp_replace(F.trim(c), r"\s*\([^)]{1,6}\)\s*$", ""))
+    return F.when(s.rlike(f"^{SECTION}$"), s)
+
+
+def chapter_id(title: Column, number: Column) -> Column:
+    """`title-number`, or the number as it is where it has its title already."""
+    return F.when(number.contains("-"), number).otherwise(F.concat_ws("-", title, number))
+
+
+def namespaced(kind: Column, target: Column) -> Column:
+    """The target of a citation in its name space, by kind: `hrs:…`, `har:…`, `hrs:ch:…`, others as they are."""
+    number = F.regexp_replace(target, r"^(ch:|har:|hrs:)", "")
+    article = r"(?i)^art\.?\s*([IVXL]+),?\s*(?:§|sec\.)\s*(\d+)$"
+    return (
+        F.when(kind.isin("hrs_section", "hrs_section_colon"), F.concat(F.lit("hrs:"), bare(number)))
+        .when(kind == "har_section", F.concat(F.lit("har:"), bare(number)))
+        .when(kind == "hrs_chapter", F.concat(F.lit("hrs:ch:"), number))
+        .when(kind == "har_chapter", F.concat(F.lit("har:ch:"), number))
+        .when((kind == "hi_const") & target.rlike(article), F.concat_ws(":", F.lit("hiconst"), F.regexp_extract(target, article, 1), F.regexp_extract(target, article, 2)))
+        .otherwise(target)
+    )
+
+
+def pin_cite(target: Column) -> Column:
+    """The subsections in parentheses behind a number, or null."""
+    return F.nullif(F.regexp_extract(target, r"(\(.*\))\s*$", 1), F.lit(""))
+
+
+def session_law_id(year: Column, act: Column, special: Column) -> Column:
+    return F.concat(F.lit("slh:"), year.cast("string"), F.lit(":"), act.cast("string"), F.when(F.coalesce(special, F.lit(False)), F.lit(":ss")).otherwise(F.lit("")))
+
+
+def file_section(name: Column) -> Column:
+    """The section number in a file name such as `HRS_0011-0102_.htm`: leading zeros go, further groups are decimals; old copies give null."""
+    clean = F.translate(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), "\u00ad", "")
+    m = r"(?i)^HRS_?(\d+)([A-Z]?)(?:-(\d+)([A-Z]?))?-(\d+)((?:_\d+)*)_?\.(?:htm|html|docx)$"
+    plain = lambda i: F.regexp_replace(F.regexp_extract(clean, m, i), r"^0+(?=\d)", "")
+    decimals = F.array_join(F.transform(F.filter(F.split(F.regexp_extract(clean, m, 6), "_"), lambda x: x != ""), lambda x: F.regexp_replace(x, r"^0+(?=\d)", "")), "")
+    article = F.when(plain(3) != "", F.concat(F.lit(":"), plain(3), F.upper(F.regexp_extract(clean, m, 4)))).otherwise(F.lit(""))
+    tail = F.when(decimals != "", F.concat(F.lit("."), decimals)).otherwise(F.lit(""))
+    return F.when(clean.rlike(m) & ~clean.contains("[OLD]"), F.concat(plain(1), F.upper(F.regexp_extract(clean, m, 2)), article, F.lit("-"), plain(5), tail))
+
+
+def restore_dash(c: Column) -> Column:
+    """A number that lost its hyphen, where only one reading is possible: a letter between the digits (`11A5` is `11A-5`)."""
+    return F.when(c.rlike(r"^\d{1,3}[A-Z]\d+(\.\d+)?$"), F.regexp_replace(c, r"^(\d{1,3}[A-Z])(\d)", "$1-$2")).otherwise(c)
+
+
+def classify_key(c: Column) -> Column:
+    """What a key of a printed table is: a struct of kind, value and repealed. The first rule that fits decides."""
+    s = F.trim(c)
+    repealed = F.coalesce(s.rlike(r"\[R\]"), F.lit(False))
+    v = F.trim(F.regexp_replace(s, r"\[R\]", ""))
+    chapter = r"(?i)^(?:ch\.?|chapter)\s+(\d+[A-Z]?)$"
+    part = r"(?i)^(?:ch\.?|chapter)\s+(\d+[A-Z]?),?\s+(?:pt\.?|part)\s+([IVXL]+)$"
+    usc = r"(?i)^(\d+)\s+U\.?S\.?C\.?\s*§*\s*(\d[0-9A-Za-z\-]*)"
+    num = restore_dash(bare(v))
+    kinds = [
+        (s.isNull() | (s == ""), "skip", F.lit(None).cast("string")),
+        (v.rlike(part), "hrs_chapter_part", F.concat_ws(":", F.regexp_extract(v, part, 1), F.upper(F.regexp_extract(v, part, 2)))),
+        (v.rlike(chapter), "hrs_chapter", F.regexp_extract(v, chapter, 1)),
+        (v.rlike(usc), "usc", F.concat_ws(":", F.lit("usc"), F.regexp_extract(v, usc, 1), F.regexp_extract(v, usc, 2))),
+        (num.rlike(r"^\d+[A-Z]?:\d+[A-Z]?-\d+(\.\d+)?$"), "hrs_section_colon", num),
+        (num.rlike(r"^\d+[A-Z]?-\d+(\.\d+)?$"), "hrs_section", num),
+        (num.rlike(r"^\d+-\d+[A-Z]?-\d+(\.\d+)?$"), "har_section", num),
+    ]
+    kind = value = None
+    for test, k, x in kinds:
+        kind = F.when(test, k) if kind is None else kind.when(test, k)
+        value = F.when(test, x) if value is None else value.when(test, x)
+    return F.struct(kind.otherwise("prose").alias("kind"), value.otherwise(v).alias("value"), repealed.alias("repealed"))
+
+
+def display(kind: Column, target: Column) -> Column:
+    """How a target reads in a report."""
+    return (
+        F.when(kind == "hrs_section", F.concat(F.lit("HRS §"), F.regexp_replace(target, "^hrs:", "")))
+        .when(kind == "har_section", F.concat(F.lit("HAR §"), F.regexp_replace(target, "^har:", "")))
+        .when(kind == "hrs_chapter", F.concat(F.lit("HRS chapter "), F.regexp_replace(target, "^(hrs:)?ch:", "")))
+        .when(kind == "usc", F.regexp_replace(target, r"^usc:(\d+):(.*)$", "$1 U.S.C. §$2"))
+        .when(kind == "cfr", F.regexp_replace(target, r"^cfr:(\d+):(.*)$", "$1 C.F.R. §$2"))
+        .when(kind == "session_law", F.regexp_replace(target, r"^slh:(\d+):(\d+).*$", "Act $2, Session Laws $1"))
+        .otherwise(target)
+    )
