@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.plans import graph, p2, p5, p6
+from lexloom.plans import graph, p2, p5, p6, relations
 
-MODULES = [p2, p5, p6, graph]
+MODULES = [p2, p5, p6, graph, relations]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
