@@ -26,7 +26,7 @@ def strip_html(c: Column) -> Column:
     c = F.translate(c, "\u00a0\ufeff", " ")
     c = F.regexp_replace(c, r"[ \t]+", " ")
     c = F.array_join(F.transform(F.split(c, "\n"), lambda x: F.trim(x)), "\n")
-    return F.trim(F.regexp_replace(c, r"\n{3,}", "\n\n"))
+    return F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
 def strip_tags(c: Column) -> Column:

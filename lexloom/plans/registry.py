@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.plans import graph, p2, p5, p6, relations
+from lexloom.plans import graph, p2, p5, p6, relations, text
 
-MODULES = [p2, p5, p6, graph, relations]
+MODULES = [p2, p5, p6, graph, relations, text]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
