@@ -196,13 +196,26 @@ def _in_common(keyed: DataFrame) -> DataFrame:
     return x.where((F.col("p") != F.col("h")) | (F.col("n") != F.col("h"))).select("key", F.col("rep").alias("doc"))
 
 
-def only(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """docs without most rows whose key is not in ids: a bit table of fixed size is broadcast, whatever the number of ids."""
+def listed(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """docs with `_listed`: true for every row whose key is in ids, and for few others. A bit table of fixed size is broadcast, whatever the number of ids."""
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     words = ids.select(slot(F.col(ids.columns[0])).alias("s")).groupBy((F.col("s") / 64).cast("int").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(s, 64) as int)))").alias("_bits"))
     x = docs.withColumn("_s", slot(F.col(f"`{key}`"))).withColumn("_w", (F.col("_s") / 64).cast("int"))
-    x = x.join(F.broadcast(words), F.col("_w") == F.col("_word"))
-    return x.where(F.expr("(shiftright(_bits, cast(pmod(_s, 64) as int)) & 1) = 1")).select(*[f"`{c}`" for c in docs.columns])
+    x = x.join(F.broadcast(words), F.col("_w") == F.col("_word"), "left")
+    hit = F.expr("coalesce((shiftright(_bits, cast(pmod(_s, 64) as int)) & 1) = 1, false)")
+    return x.select(*[f"`{c}`" for c in docs.columns], hit.alias("_listed"))
+
+
+def only(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """docs without most rows whose key is not in ids."""
+    return listed(docs, key, ids, bits).where("_listed").drop("_listed")
+
+
+def without(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """docs without the rows whose key is in ids. Only rows that the bit table lists are shuffled to be sure."""
+    x = listed(docs, key, ids, bits)
+    sure = x.where("not _listed").drop("_listed")
+    return sure.unionByName(x.where("_listed").drop("_listed").join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_anti").select(*docs.columns))
 
 
 def _pairs_of(common: DataFrame) -> DataFrame:
@@ -223,7 +236,9 @@ class SharedSpans:
         k = k or min_chars * 7 // 12
         t = F.col(f"`{text}`")
         self.docs = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc"), t.alias("t")).where(F.col("doc").isNotNull() & (F.length("t") >= min_chars))
-        src = self.docs.withColumn("h", F.xxhash64("t"))
+        # Of copies one goes on; a text that many documents have meets in a partial aggregate, never in one task.
+        self.members = durable(self._copies())
+        src = without(self.docs, "doc", self.members.where("doc <> rep").select("doc")).withColumn("h", F.xxhash64("t"))
         hot = self._hot(src, k)
         common = durable(_in_common(_keyed(src, min_chars, k, hot)).distinct())
         size = common.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -237,7 +252,7 @@ class SharedSpans:
 
     def _hot(self, src: DataFrame, k: int) -> np.ndarray:
         some = src.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0)
-        keys = _keyed(some, self.least, k, np.zeros(0, np.uint64)).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAMPLE_HITS)
+        keys = _keyed(some, self.least, k, np.zeros(0, np.uint64)).groupBy("key").agg(F.count_distinct("h").alias("n")).where(F.col("n") >= SAMPLE_HITS)
         rows = keys.orderBy(F.desc("n"), "key").limit(SAMPLE_KEYS).select("key").collect()
         return np.array([r.key for r in rows], np.int64).view(np.uint64)
 
@@ -281,7 +296,7 @@ class SharedSpans:
 
         return both.mapInArrow(run, f"a bigint, b bigint, longest int, sa {span}, sb {span}")
 
-    def copies(self) -> DataFrame:
+    def _copies(self) -> DataFrame:
         """(doc, rep, chars) of the documents whose text another document has too."""
         x = self.docs.select("doc", F.md5("t").alias("m"), F.length("t").alias("chars")).distinct()
         many = x.groupBy("m").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -289,7 +304,7 @@ class SharedSpans:
 
     def pairs(self) -> DataFrame:
         """All pairs of documents that share a span: doc_a < doc_b, each once, whole copies included."""
-        members = durable(self.copies().select("rep", "doc"))
+        members = self.members.select("rep", "doc")
         reps = self.representatives().select("a", "b")
         x = reps.join(members.select(F.col("rep").alias("a"), F.col("doc").alias("da")), "a", "left").join(members.select(F.col("rep").alias("b"), F.col("doc").alias("db")), "b", "left")
         x = x.select(F.coalesce("da", "a").alias("x"), F.coalesce("db", "b").alias("y"))
@@ -299,7 +314,7 @@ class SharedSpans:
     def coverage(self) -> DataFrame:
         """Per document that shares anything: its class (the smallest document of the same text), characters, how many of them other
         documents share, and the number of other texts it shares spans with. A copy of another document is shared as a whole."""
-        members = durable(self.copies())
+        members = self.members
         pairs = durable(self.representatives())
         spans = pairs.select(F.col("a").alias("rep"), F.explode("sa").alias("x")).unionByName(pairs.select(F.col("b").alias("rep"), F.explode("sb").alias("x"))).select("rep", "x.s", "x.e")
         w = Window.partitionBy("rep").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
