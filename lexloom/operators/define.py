@@ -90,7 +90,8 @@ def resolve(places: DataFrame, defined: DataFrame) -> DataFrame:
     rank counts from the narrowest scope, and only the first controls, the others are shadowed. A place outside of all scopes of a term has no row for it.
     Keys of one section are few, so the join is an equi-join on the scope key, whatever the number of terms."""
     keys = [scope_key(F.lit(k), *[F.col(c) for c in ("section", "chapter", "part", "subpart", "title")]) for k in SCOPES[:5]]
-    chain = places.select("section", F.posexplode(F.array(*keys)).alias("depth", "scope_key")).where(F.col("scope_key").isNotNull()).distinct()
+    places = places.select("section", "chapter", "part", "subpart", "title").distinct()
+    chain = places.select("section", F.posexplode(F.array(*keys)).alias("depth", "scope_key")).where(F.col("scope_key").isNotNull())
     j = chain.join(defined.where(F.col("term_norm").isNotNull()), "scope_key")
     w = Window.partitionBy("section", "term_norm").orderBy("depth", "seq")
     return j.withColumn("rank", F.row_number().over(w)).select("section", "term_norm", "scope_key", "seq", "rank", (F.col("rank") == 1).alias("controls"))

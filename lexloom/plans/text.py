@@ -98,10 +98,10 @@ def definition_collisions(spark, d):
 
 
 def definition_at(spark, d):
-    """Definitions that govern in each document of a unit: counts of controlling and shadowed ones per term."""
+    """Definitions that govern in each unit: counts of controlling and shadowed ones per term. Documents of a unit see the same scopes, so each unit is resolved once."""
     docs, defs = _defined(spark, d)
     defs = defs.where("scope = 'chapter'").join(docs, "section").select("term_norm", F.concat(F.lit("ch:"), "unit").alias("scope_key"), F.col("section").cast("bigint").alias("seq"))
-    places = docs.where("unit <> ''").select("section", F.col("unit").alias("chapter"), F.lit("").alias("part"), F.lit("").alias("subpart"), F.lit(None).cast("string").alias("title"))
+    places = docs.where("unit <> ''").select(F.col("unit").alias("section"), F.col("unit").alias("chapter"), F.lit("").alias("part"), F.lit("").alias("subpart"), F.lit(None).cast("string").alias("title"))
     r = D.resolve(places, defs)
     return r.groupBy("term_norm").agg(F.count_if("controls").alias("places"), F.count_if(~F.col("controls")).alias("shadowed"))
 
@@ -139,8 +139,8 @@ SQL = {
     "citation_sweep": "SELECT section_id, '' AS target FROM zones WHERE false",
     "definition_scopes": None,
     "definition_collisions": f"WITH t AS (SELECT DISTINCT doc_id, unit_id, unnest({_DEF}) AS term FROM documents) SELECT lower(term) AS term_norm, count(DISTINCT 'ch:' || coalesce(unit_id, '')) AS scopes FROM t GROUP BY 1 HAVING count(DISTINCT 'ch:' || coalesce(unit_id, '')) > 1",
-    "definition_at": f"""WITH t AS (SELECT DISTINCT doc_id, coalesce(unit_id, '') AS unit, lower(unnest({_DEF})) AS term FROM documents), p AS (SELECT doc_id, unit_id FROM documents WHERE unit_id <> ''),
- j AS (SELECT p.doc_id, t.term, row_number() OVER (PARTITION BY p.doc_id, t.term ORDER BY t.doc_id) AS r FROM p JOIN t ON t.unit = p.unit_id)
+    "definition_at": f"""WITH t AS (SELECT DISTINCT doc_id, coalesce(unit_id, '') AS unit, lower(unnest({_DEF})) AS term FROM documents), p AS (SELECT DISTINCT unit_id FROM documents WHERE unit_id <> ''),
+ j AS (SELECT t.term, row_number() OVER (PARTITION BY p.unit_id, t.term ORDER BY t.doc_id) AS r FROM p JOIN t ON t.unit = p.unit_id)
  SELECT term AS term_norm, count(*) FILTER (r = 1) AS places, count(*) FILTER (r > 1) AS shadowed FROM j GROUP BY term""",
     "html_text": "SELECT doc_id FROM documents WHERE false",
     "duplicate_texts": "SELECT doc_id FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1",
