@@ -104,35 +104,26 @@ def compose(cluster: str, classes: list[int]) -> str:
     return "".join(out)
 
 
+@lru_cache(1)
+def other_letters() -> list[str]:
+    """All Greek and Cyrillic letters."""
+    return [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and script_of(chr(i)) in ("g", "c")]
+
+
 def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """The two broadcast tables; their sizes are fixed by Unicode (about 30,000 and 2,500 rows)."""
     d = spark.createDataFrame([(c, [(x, k) for x, k in m]) for c, m in decompositions()], "ch string, parts array<struct<x: string, k: int>>")
-    letters = {c for i in range(0x110000) if not 0xD800 <= i < 0xE000 for c in [chr(i)] if script_of(c) in ("g", "c")}
     back = {script: {v: k for k, v in reversed(LOOK_ALIKE.items()) if script_of(k) == script} for script in "gc"}
-    rows = [(c, script_of(c), LOOK_ALIKE.get(unicodedata.normalize("NFKC", c)), None, None) for c in sorted(letters)]
+    rows = [(c, script_of(c), LOOK_ALIKE.get(unicodedata.normalize("NFKC", c)), None, None) for c in other_letters()]
     rows += [(c, "l", None, back["g"].get(c), back["c"].get(c)) for c in sorted(set(back["g"]) | set(back["c"]))]
     return d, spark.createDataFrame(rows, "x string, script string, latin string, greek string, cyrillic string")
 
 
-def unify(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Each row with its text in one consistent form: keys, `original`, `text`, `mixed`.
-
-    The form is NFKC without invisible formatting characters (category Cf), with U+0020 for every space separator and an
-    ASCII hyphen for U+2010 and U+2011. In a word of letters that mixes Latin with Greek or Cyrillic, look-alikes go to Latin if all its other
-    letters have a Latin look-alike, else Latin letters go to the other script if all of them can. Words of one script, macrons,
-    the okina, quotes and dashes stay. `mixed` says that the original holds a mixed word, also one that no table can mend.
-
-    A null text stays null (mixed false), an empty one empty; repeated rows stay repeated, long texts are brought to the form whole.
-    The columns named in keys may have any names but `original`, `text` and `mixed`.
-    """
-    spark = df.sparkSession
-    decomposition, look_alike = _tables(spark)
-    base = df.select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"), F.col(f"`{text}`").alias("original"))
-    keep = [F.col(f"_key.`{k}`").alias(k) for k in keys]
-    sound = base.where(F.col("original").isNull() | ~F.col("original").rlike(SUSPECT)).select(*keep, "original", F.col("original").alias("text"), F.lit(False).alias("mixed"))
-    # Each distinct text once: repeated texts are joined back by their own value.
-    texts = base.where(F.col("original").rlike(SUSPECT)).select("original").distinct().withColumn("rid", F.struct(F.xxhash64("original"), F.md5("original")))
-    points = texts.select("rid", F.posexplode(F.split("original", "")).alias("pos", "ch")).where(F.col("ch") != "")
+def token_forms(tokens: DataFrame) -> DataFrame:
+    """The consistent form of each distinct token: token, form, mixed, from its code points."""
+    decomposition, look_alike = _tables(tokens.sparkSession)
+    tokens = tokens.withColumn("rid", F.struct(F.xxhash64("token"), F.md5("token")))
+    points = tokens.select("rid", F.posexplode(F.split("token", "")).alias("pos", "ch")).where(F.col("ch") != "")
     points = points.join(F.broadcast(decomposition), "ch", "left").select("rid", "pos", F.posexplode_outer(F.coalesce("parts", F.array(F.struct(F.col("ch").alias("x"), F.lit(0).alias("k"))))).alias("sub", "p"))
     points = points.where(F.col("p").isNotNull()).select("rid", "pos", "sub", "p.x", "p.k")
     # Clusters: a starter with what may compose with it.
@@ -173,8 +164,33 @@ def unify(df: DataFrame, keys: list[str], text: str) -> DataFrame:
         .otherwise(F.col("c"))
     )
     rebuilt = forms.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("cluster", "n", mended.alias("c")))).alias("m"), F.bool_or(both).alias("mixed"))
-    rebuilt = rebuilt.select("rid", F.array_join(F.transform("m", lambda m: m["c"]), "").alias("text"), "mixed")
-    done = texts.join(rebuilt, "rid", "left").select("original", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("mixed", F.lit(False)).alias("mixed"))
+    rebuilt = rebuilt.select("rid", F.array_join(F.transform("m", lambda m: m["c"]), "").alias("form"), "mixed")
+    return tokens.join(rebuilt, "rid", "left").select("token", F.coalesce("form", F.lit("")).alias("form"), F.coalesce("mixed", F.lit(False)).alias("mixed"))
+
+
+def unify(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Each row with its text in one consistent form: keys, `original`, `text`, `mixed`.
+
+    The form is NFKC without invisible formatting characters (category Cf), with U+0020 for every space separator and an
+    ASCII hyphen for U+2010 and U+2011. In a word of letters that mixes Latin with Greek or Cyrillic, look-alikes go to Latin if all its other
+    letters have a Latin look-alike, else Latin letters go to the other script if all of them can. Words of one script, macrons,
+    the okina, quotes and dashes stay. `mixed` says that the original holds a mixed word, also one that no table can mend.
+
+    A null text stays null (mixed false), an empty one empty; repeated rows stay repeated, long texts are brought to the form whole.
+    The columns named in keys may have any names but `original`, `text` and `mixed`.
+    """
+    base = df.select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"), F.col(f"`{text}`").alias("original"))
+    keep = [F.col(f"_key.`{k}`").alias(k) for k in keys]
+    sound = base.where(F.col("original").isNull() | ~F.col("original").rlike(SUSPECT)).select(*keep, "original", F.col("original").alias("text"), F.lit(False).alias("mixed"))
+    # Each distinct text once: repeated texts are joined back by their own value. Nothing in the form reaches over an ASCII
+    # blank, so that texts come apart there, and each distinct token that may differ is exploded to its code points once.
+    texts = base.where(F.col("original").rlike(SUSPECT)).select("original").distinct().withColumn("tid", F.struct(F.xxhash64("original"), F.md5("original")))
+    tokens = texts.select("tid", F.posexplode(F.split("original", " ", -1)).alias("i", "token"))
+    odd = tokens.where(F.col("token").rlike(SUSPECT))
+    forms = token_forms(odd.select("token").distinct())
+    parts = odd.join(forms, "token").select("tid", "i", "form", "mixed").unionByName(tokens.where(~F.col("token").rlike(SUSPECT)).select("tid", "i", F.col("token").alias("form"), F.lit(False).alias("mixed")))
+    rebuilt = parts.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("i", "form"))).alias("m"), F.bool_or("mixed").alias("mixed"))
+    done = texts.join(rebuilt.select("tid", F.array_join(F.transform("m", lambda m: m["form"]), " ").alias("text"), "mixed"), "tid").select("original", "text", "mixed")
     changed = base.where(F.col("original").rlike(SUSPECT)).join(done, "original").select(*keep, "original", "text", "mixed")
     return sound.unionByName(changed)
 
