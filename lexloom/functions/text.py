@@ -124,3 +124,23 @@ def rejoin_keyword(c: Column, words: tuple[str, ...] = ("Subchapter", "Chapter",
     for w in words:
         c = F.regexp_replace(c, r"(?i)^\s*" + r"\s*".join(w) + r"\b", w)
     return c
+
+
+def page_tags(part: Column, chapter: Column, repealed: Column) -> Column:
+    """Tags of a section's page, without those that don't apply."""
+    return F.array_compact(F.array(F.concat(F.lit("chapter/"), chapter), F.when(F.coalesce(part, F.lit("")) != "", F.concat(F.lit("part/"), F.lower(F.regexp_extract(part, r"(?i)part\s+([IVXLC]+)", 1)))), F.when(repealed, F.lit("repealed"))))
+
+
+def repealed_range(catchline: Column, number: Column) -> Column:
+    """The catchline of a range that was repealed as a whole: `REPEALED (§§7-20 to 7-22)` for `to 22 REPEALED.` at 7-20; others as they are."""
+    p = r"(?i)^\s*(?:to|through|-)\s*(?:(\d+[A-Z]?-))?(\d+(?:\.\d+)?)\s*\]?\.?\s*REPEALED"
+    last = F.when(F.regexp_extract(catchline, p, 1) != "", F.concat(F.regexp_extract(catchline, p, 1), F.regexp_extract(catchline, p, 2))).otherwise(F.concat(F.regexp_replace(number, r"-[^-]*$", "-"), F.regexp_extract(catchline, p, 2)))
+    return F.when(catchline.rlike(p), F.concat(F.lit("REPEALED (§§"), number, F.lit(" to "), last, F.lit(")"))).otherwise(catchline)
+
+
+def chapter_hint(label: Column, url: Column) -> Column:
+    """The chapter that a document's link or file name hints at, by ordered attempts: a full number in the label, in the file name, a plain number in either; else null."""
+    name = F.regexp_extract(F.parse_url(url, F.lit("PATH")), r"([^/]*)$", 1)
+    get = lambda c, p: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), p, 1), F.lit(""))
+    full, plain = r"(?<![\d-])(\d{1,2}-\d{1,3}(?:\.\d+)?[A-Z]?)(?![\d-])", r"(?i)ch(?:apter|ap|\.)?[ _-]*(\d{1,3}(?:\.\d+)?)"
+    return F.coalesce(get(label, full), get(F.translate(name, "_", " "), full), get(label, plain), get(name, plain))

@@ -9,6 +9,7 @@ from lexloom.functions import ids as I
 from lexloom.functions import text as X
 from lexloom.operators import cite as C
 from lexloom.operators import define as D
+from lexloom.plans.sqlparts import LAYER, NUM
 from lexloom.sources.tables import table
 
 
@@ -118,6 +119,29 @@ def duplicate_texts(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", F.row_number().over(w).alias("r")).where("r > 1").select("doc_id")
 
 
+def page_tag_counts(spark, d):
+    s = table(spark, d, "sections").groupBy("id").agg(F.max("unit_path").alias("path"), F.max("chapter").alias("chapter"), F.max("repealed").alias("repealed"))
+    return s.select(F.explode(X.page_tags(F.col("path"), F.col("chapter"), F.col("repealed") == 1)).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def acts_on_sections(spark, d):
+    """Which acts touched a section, by its citations of session laws."""
+    e = table(spark, d, "edge").where("kind = 'session_law' and target is not null and src is not null")
+    return e.groupBy(I.proper_section(F.col("src")).alias("section_id")).agg(F.count_distinct("target").alias("acts"), F.max(F.regexp_extract("target", r"^slh:(\d+):", 1)).alias("last_year"))
+
+
+def cases_on_sections(spark, d):
+    """What was held about a section: its reported cases."""
+    e = table(spark, d, "edge").where("kind = 'case' and target is not null and src is not null")
+    return e.groupBy(I.proper_section(F.col("src")).alias("section_id")).agg(F.count_distinct("target").alias("cases"), F.min("target").alias("first_case"))
+
+
+def citers_by_kind(spark, d):
+    """Sources per kind and zone of citation, with the totals of each kind."""
+    e = table(spark, d, "edge").select("kind", "zone", "src")
+    return e.groupBy("kind").agg(F.count(F.lit(1)).alias("citations"), F.count_distinct("src").alias("sources"), F.count_if(F.col("zone") == "operative").alias("operative"), F.count_if(F.col("zone").isNull()).alias("no_zone"))
+
+
 _DEF = "regexp_extract_all(text, '(?i)\\bin\\s+this\\s+chapter,\\s+the\\s+([a-z][a-z \\-]{2,60}?)\\s+(?:means)\\b', 1)"
 _FLAT = "trim(regexp_replace({c}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 _PDATE = "TRY_CAST(lpad(CAST(CASE WHEN y >= 100 THEN y WHEN y <= 30 THEN y + 2000 ELSE y + 1900 END AS VARCHAR), 4, '0') || '-' || lpad(CAST(m AS VARCHAR), 2, '0') || '-' || lpad(CAST(dd AS VARCHAR), 2, '0') AS DATE)"
@@ -129,7 +153,13 @@ SQL = {
     "effective_dates": f"WITH z AS (SELECT DISTINCT section_id, body FROM zones WHERE zone = 'source_note' AND body IS NOT NULL), l AS (SELECT section_id, regexp_extract_all(body, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}')[-1] AS x FROM z), p AS (SELECT section_id, {_PARTS.format(c='x')} FROM l) SELECT section_id, {_PDATE} AS effective FROM p",
     "printed_dates": f"WITH p AS (SELECT DISTINCT id, effective AS x, {_PARTS.format(c='effective')} FROM sections) SELECT DISTINCT id, {_PDATE} AS effective FROM p",
     "repealed_flags": "WITH z AS (SELECT DISTINCT section_id, body FROM zones WHERE zone = 'operative'), s AS (SELECT DISTINCT id, catchline FROM sections) SELECT coalesce(regexp_matches(catchline, '(?i)^\\s*\\(?(repealed|reserved)\\b'), false) OR coalesce(contains(substr(body, 1, 180), 'REPEALED'), false) AS repealed, count(DISTINCT id) AS n FROM s LEFT JOIN z ON z.section_id = s.id GROUP BY 1",
-    "display_names": None,
+    "display_names": """SELECT DISTINCT kind, target, CASE kind WHEN 'hrs_section' THEN 'HRS §' || regexp_replace(target, '^hrs:', '') WHEN 'har_section' THEN 'HAR §' || regexp_replace(target, '^har:', '')
+ WHEN 'hrs_chapter' THEN 'HRS chapter ' || regexp_replace(target, '^(hrs:)?ch:', '') WHEN 'usc' THEN regexp_replace(target, '^usc:([0-9]+):(.*)$', '\\1 U.S.C. §\\2', 's') WHEN 'cfr' THEN regexp_replace(target, '^cfr:([0-9]+):(.*)$', '\\1 C.F.R. §\\2', 's')
+ WHEN 'session_law' THEN regexp_replace(target, '^slh:([0-9]+):([0-9]+).*$', 'Act \\2, Session Laws \\1', 's') ELSE target END AS name FROM edge WHERE target IS NOT NULL""",
+    "page_tag_counts": "WITH s AS (SELECT id, max(unit_path) AS path, max(chapter) AS chapter, max(repealed) AS repealed FROM sections GROUP BY id), t AS (SELECT 'chapter/' || chapter AS tag FROM s UNION ALL SELECT 'part/' || lower(regexp_extract(path, '(?i)part\\s+([IVXLC]+)', 1)) FROM s WHERE path <> '' UNION ALL SELECT 'repealed' FROM s WHERE repealed = 1) SELECT tag, count(*) AS n FROM t GROUP BY tag",
+    "acts_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'session_law' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS acts, max(regexp_extract(target, '^slh:([0-9]+):', 1)) AS last_year FROM n GROUP BY 1",
+    "cases_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'case' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS cases, min(target) AS first_case FROM n GROUP BY 1",
+    "citers_by_kind": "SELECT kind, count(*) AS citations, count(DISTINCT src) AS sources, count(*) FILTER (zone = 'operative') AS operative, count(*) FILTER (zone IS NULL) AS no_zone FROM edge GROUP BY kind",
     "key_kinds": None,
     "name_spaces": None,
     "pin_cites": "SELECT edge_id, regexp_extract(raw, '(\\(.*\\))\\s*$', 1) AS pin FROM edge WHERE kind IN ('hrs_section', 'har_section') AND regexp_extract(raw, '(\\(.*\\))\\s*$', 1) <> ''",

@@ -65,3 +65,12 @@ def test_text(spark):
     assert re.search(pattern, "see 1l – I5 here") and not re.search(pattern, "see 12-15")
     df = spark.createDataFrame([("Repealed.", None), ("x", "§§1 REPEALED"), ("(Reserved)", ""), ("x", None), (None, None)], "c string, b string")
     assert [r[0] for r in df.select(X.is_repealed(F.col("c"), F.col("b"))).collect()] == [True, True, True, False, False]
+
+
+def test_hints(spark):
+    df = spark.createDataFrame([("Chapter 3-160", "https://x.gov/a.pdf"), ("Rules", "https://x.gov/d/HAR_3-161.pdf"), ("Chapter 12", "https://x.gov/z.pdf"), (None, "https://x.gov/ch7.pdf"), (None, None)], "l string, u string")
+    assert [r[0] for r in df.select(X.chapter_hint(F.col("l"), F.col("u"))).collect()] == ["3-160", "3-161", "12", "7", None]
+    df = spark.createDataFrame([("to 22 REPEALED.", "7-20"), ("to 7-22. REPEALED", "7-20"), ("Fees", "7-1"), (None, "7-1")], "c string, n string")
+    assert [r[0] for r in df.select(X.repealed_range(F.col("c"), F.col("n"))).collect()] == ["REPEALED (§§7-20 to 7-22)", "REPEALED (§§7-20 to 7-22)", "Fees", None]
+    df = spark.createDataFrame([("PART II. X", "7", True), (None, "8", False)], "p string, c string, r boolean")
+    assert [r[0] for r in df.select(X.page_tags(F.col("p"), F.col("c"), F.col("r"))).collect()] == [["chapter/7", "part/ii", "repealed"], ["chapter/8"]]
