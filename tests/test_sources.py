@@ -35,9 +35,9 @@ def test_pages_and_links(spark):
 
 
 def test_discovery(spark):
-    seeds = spark.createDataFrame([("https://a.hawaii.gov/x",)], "url string")
-    links = spark.createDataFrame([("https://a.hawaii.gov/x", i, h) for i, h in enumerate(["https://a.hawaii.gov/rules", "https://b.hawaii.gov/admin", "https://c.com/rules", "https://a.hawaii.gov/rules.zip", "https://a.hawaii.gov/about"])], "page string, seq int, href string")
-    assert {(r.url, r.depth) for r in D.discover(seeds, links).collect()} == {("https://a.hawaii.gov/x", 0), ("https://a.hawaii.gov/rules", 1), ("https://b.hawaii.gov/admin", 1)}
+    seeds = spark.createDataFrame([("https://a.example.gov/x",)], "url string")
+    links = spark.createDataFrame([("https://a.example.gov/x", i, h) for i, h in enumerate(["https://a.example.gov/rules", "https://b.example.gov/admin", "https://c.com/rules", "https://a.example.gov/rules.zip", "https://a.example.gov/about"])], "page string, seq int, href string")
+    assert {(r.url, r.depth) for r in D.discover(seeds, links).collect()} == {("https://a.example.gov/x", 0), ("https://a.example.gov/rules", 1), ("https://b.example.gov/admin", 1)}
     assert D.discover(seeds, links, most=1).count() == 2
 
 
