@@ -82,15 +82,15 @@ def _targets(kind: str, m: re.Match, chapter: str | None, compat: bool) -> list[
 def statute_citations(text: str, chapter: str | None = None, compat: bool = False) -> list[Cite]:
     """Citations in statute text: by pattern, then by place. `compat` names the citing chapter for every part, as older outputs did."""
     t = text.translate(_TO_HYPHEN)
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(t))
     out: list[Cite] = []
     for kind, pattern in _STATUTE:
         for m in pattern.finditer(t):
             s, e = m.span()
-            if any(s < b and e > a for a, b in taken):
+            if any(taken[s:e]):
                 continue
             if found := _targets(kind, m, chapter, compat):
-                taken.append((s, e))
+                taken[s:e] = b"\1" * (e - s)
                 out += [(k, x, _flat(m.group()), s, e) for k, x in found]
     return out
 
@@ -102,9 +102,12 @@ def rule_citations(text: str, chapter: str | None = None) -> list[Cite]:
 
     def claim(pattern: re.Pattern, make: Callable[[re.Match], list[tuple[str, str]]]) -> None:
         nonlocal t
-        for m in list(pattern.finditer(t)):
+
+        def blank(m: re.Match) -> str:
             out.extend((k, x, _flat(m.group()), *m.span()) for k, x in make(m))
-            t = t[: m.start()] + " " * len(m.group()) + t[m.end() :]
+            return " " * len(m.group())
+
+        t = pattern.sub(blank, t)
 
     claim(_COLON, lambda m: [("hrs_section", m.group().upper())])
     claim(_RULE_RANGE, lambda m: [("har_section", m["a"].upper()), ("har_section", m["b"].upper())])
