@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 # Scopes from the narrowest, and the words that declare them.
 SCOPES = ["section", "subpart", "part", "chapter", "title", "unstated"]
-_DECLARE = [(re.compile(rf"(?:(?:as|when|whenever)\s+)?(?:used\s+)?in\s+this\s+{k}\b|for\s+(?:the\s+)?purposes?\s+of\s+this\s+{k}\b", re.I), k) for k in SCOPES[:5]] + [(re.compile(r"for\s+this\s+purpose\b", re.I), "section")]
+_DECLARE = re.compile(r"\b(?:in|purposes?\s+of)\s+this\s+(section|subpart|part|chapter|title)\b|\bfor\s+this\s+purpose\b", re.I)
 VERBS = r"means|includes|has\s+the\s+same\s+meaning|shall\s+mean|shall\s+have\s+the\s+same\s+meaning|denotes|refers\s+to"
 _QUOTED = re.compile(rf"[\"“]([^\"“”\n]{{2,80}})[\"”]\s+({VERBS})\b", re.I)
 _COMMA = re.compile(r"[\"“]([^\"“”\n]{2,80})[\"”],\s+(?=[a-z\"“])")
 _PLAIN = re.compile(rf"\bin\s+this\s+(?:section|subpart|part|chapter|title),\s+the\s+([a-z][a-z \-]{{2,60}}?)\s+({VERBS})\b", re.I)
 _IMPORT = re.compile(r"(?:defined\s+in|same\s+meaning\s+as(?:\s+that)?(?:\s+defined)?\s+in)\s+(?:section\s+)?([0-9A-Z]+(?::[0-9A-Z]+)?-[0-9]+(?:\.[0-9]+)?)", re.I)
+#: Some of these is in every verb above.
+_STEMS = ("mean", "include", "denote", "refer")
 #: Declarations this close to the last kept one count as one, of the narrower kind.
 NEAR = 12
 BODY, BODY_MOST, IMPORT_WITHIN = 700, 1200, 300
@@ -28,7 +30,7 @@ BODY, BODY_MOST, IMPORT_WITHIN = 700, 1200, 300
 def declarations(text: str) -> list[tuple[int, str]]:
     """(end, scope) of each scope declaration, in order; near ones collapse to the narrower."""
     kept: list[tuple[int, str]] = []
-    for end, kind in sorted({(m.end(), k) for p, k in _DECLARE for m in p.finditer(text)}):
+    for end, kind in ((m.end(), (m[1] or "section").lower()) for m in _DECLARE.finditer(text)):
         if kept and end - kept[-1][0] < NEAR:
             if SCOPES.index(kind) < SCOPES.index(kept[-1][1]):
                 kept[-1] = (kept[-1][0], kind)
@@ -39,6 +41,9 @@ def declarations(text: str) -> list[tuple[int, str]]:
 
 def definitions(text: str, is_definitions: bool) -> list[tuple[str, str, str, str, str | None]]:
     """(term, verb, scope, body, imported from) of each term, the first of several of one name."""
+    low = text.lower()
+    if not is_definitions and not any(stem in low for stem in _STEMS):
+        return []
     at = [(m.start(), m.end(), m[1], " ".join(m[2].lower().split())) for p in (_QUOTED, _PLAIN) for m in p.finditer(text)]
     if is_definitions:
         at += [(m.start(), m.end(), m[1], ",") for m in _COMMA.finditer(text)]
