@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.functions.ids import squeeze
+
 
 def compare_sets(left: DataFrame, right: DataFrame, by: str, item: str) -> DataFrame:
     """Per key whether two attestations hold the same set of items: by, outcome (agree, differ, left_unread, right_unread), only_left, only_right, shared.
@@ -41,27 +43,46 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFr
     return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_new")
 
 
+#: An element of a list: quoted, or what lies between separators; an apostrophe inside a word is no quote.
+_ELEMENT = r"""\"[^\"]*+(?:\"\"[^\"]*+)*+\"|(?<![\p{L}\p{N}])'[^']*'(?![\p{L}\p{N}])|[^,;|/&\n\t\"']+(?:(?<=\p{L})'[^,;|/&\n\t\"']*)*"""
+_BETWEEN = r"(?i)[\s\p{Z}]+(?:and|or)[\s\p{Z}]+|(?<=[\d)])[\s\p{Z}]+(?=§*\s*\d)"
+_RANGE = r"(?i)^(.*?\S)[\s\p{Z}]+(?:to|through)[\s\p{Z}]+(\S.*)$"
+_FULL = r"^(\d+[A-Z]?(?::\d+[A-Z]?)?-\d+[A-Z]?(?:\.\d+)?)(?:-(\d+(?:\.\d+)?(?:-\d+)*))?$"
+_BARE = r"^\d+(\.\d+)?$"
+
+
 def expand_lists(df: DataFrame, key: str, text: str) -> DataFrame:
     """Compressed lists of rule numbers, one row per member: key, pos, member, parsed.
 
     `13-275-1, 2, 5 to 8` gives 13-275-1, -2, -5, -6, -7, -8: a bare number takes the prefix of the last full number before it, a range between
-    two whole numbers gives its members, another range both ends. What can't be read comes with parsed = false. Null or empty lists give no rows."""
-    full = r"^(\d+[A-Z]?-\d+(?:\.\d+)?)(?:-(\d+(?:\.\d+)?(?:-\d+)*))?$"
-    x = df.select(key, F.posexplode(F.split(F.regexp_replace(F.col(text), r"\s+(?:to|through)\s+", "~"), r"\s*[,;]\s*")).alias("i", "t")).withColumn("t", F.trim("t")).where("t <> ''")
-    x = x.withColumn("a", F.trim(F.split("t", "~")[0])).withColumn("b", F.trim(F.get(F.split("t", "~"), F.lit(1))))
-    x = x.withColumn("own", F.when(F.col("a").rlike(full), F.regexp_extract("a", full, 1)))
+    two whole numbers behind the same prefix gives its members, another range both ends. Elements lie between commas, semicolons, bars, slashes, `&`, `and`, `or`,
+    line ends and tabs, but for those in quotes; section signs, layer names and subsections in parentheses are no part of a number.
+    What can't be read comes as it stands with parsed = false. Null or empty lists give no rows."""
+    quoted = lambda c: c.startswith('"') | c.startswith("'")
+    inner = lambda c: F.replace(F.regexp_replace(c, r"(?s)^([\"'])(.*)\1$", "$2"), F.lit('""'), F.lit('"'))
+    parts = F.flatten(F.transform(F.regexp_extract_all(F.col(text), F.lit(_ELEMENT), F.lit(0)), lambda c: F.when(quoted(c), F.array(inner(c))).otherwise(F.split(c, _BETWEEN))))
+    x = df.select(key, F.posexplode(parts).alias("i", "t")).withColumn("t", F.regexp_replace(F.trim("t"), r"(?i)^(?:and|or)\s+", "")).where(F.col("t").rlike(r"[\p{L}\p{N}]") & ~F.col("t").rlike(r"(?i)^(?:sections?|secs?\.?|hrs|har|[§\s])+$"))
+
+    def number(c: Column) -> Column:
+        c = F.regexp_replace(squeeze(c), r"(?i)^(?:hrs|har):?(?:sections?|secs?\.)?", "")
+        return F.upper(F.regexp_replace(c, r"(?:\([^()]{1,12}\))*\.?$", ""))
+
+    span = F.col("t").rlike(_RANGE)
+    x = x.withColumn("a", number(F.when(span, F.regexp_extract("t", _RANGE, 1)).otherwise(F.col("t")))).withColumn("b", F.when(span, number(F.regexp_extract("t", _RANGE, 2))))
+    x = x.withColumn("own", F.when(F.col("a").rlike(_FULL), F.regexp_extract("a", _FULL, 1)))
     w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("prefix", F.last("own", ignorenulls=True).over(w))
-    first = F.when(F.col("own").isNotNull(), F.regexp_extract("a", full, 2)).when(F.col("a").rlike(r"^\d+(\.\d+)?$"), F.col("a"))
-    last = F.when(F.col("b").rlike(r"^\d+(\.\d+)?$"), F.col("b")).otherwise(F.nullif(F.regexp_extract("b", full, 2), F.lit("")))
-    x = x.withColumn("lo", first).withColumn("hi", last)
-    whole = F.col("lo").rlike(r"^\d{1,6}$") & F.col("hi").rlike(r"^\d{1,6}$") & (F.col("lo").try_cast("int") <= F.col("hi").try_cast("int"))
-    members = F.when(F.col("b").isNull(), F.array("lo")).when(whole, F.transform(F.sequence(F.col("lo").try_cast("int"), F.col("hi").try_cast("int")), lambda n: n.cast("string"))).otherwise(F.array("lo", "hi"))
-    ok = F.col("prefix").isNotNull() & F.col("lo").isNotNull() & (F.col("b").isNull() | F.col("hi").isNotNull())
-    x = x.withColumn("parsed", ok).select(key, "i", "prefix", "t", "parsed", F.posexplode(F.when(ok, members).otherwise(F.array("t"))).alias("j", "m"))
-    member = F.when(F.col("parsed"), F.when(F.col("m") == "", F.col("prefix")).otherwise(F.concat_ws("-", "prefix", "m"))).otherwise(F.replace("t", F.lit("~"), F.lit(" to ")))
+    x = x.withColumn("first", F.when(F.col("own").isNotNull(), F.col("a")).when(F.col("a").rlike(_BARE), F.concat("prefix", F.lit("-"), "a")))
+    before, behind = (lambda c: F.regexp_extract(c, r"^(.*)-[^-]*$", 1)), (lambda c: F.regexp_extract(c, r"([^-]*)$", 1))
+    x = x.withColumn("last", F.when(F.col("b").rlike(_FULL), F.col("b")).when(F.col("b").rlike(_BARE), F.concat(before(F.col("first")), F.lit("-"), F.col("b"))))
+    x = x.withColumn("lo", behind(F.col("first"))).withColumn("hi", behind(F.col("last")))
+    whole = F.col("lo").rlike(r"^\d{1,6}$") & F.col("hi").rlike(r"^\d{1,6}$") & (F.col("lo").try_cast("int") <= F.col("hi").try_cast("int")) & (before(F.col("first")) == before(F.col("last")))
+    inside = F.transform(F.sequence(F.col("lo").try_cast("int"), F.col("hi").try_cast("int")), lambda n: F.concat(before(F.col("first")), F.lit("-"), n.cast("string")))
+    members = F.when(F.col("b").isNull(), F.array("first")).when(whole, inside).otherwise(F.array("first", "last"))
+    ok = F.col("first").isNotNull() & (F.col("b").isNull() | F.col("last").isNotNull())
+    x = x.select(key, "i", ok.alias("parsed"), F.posexplode(F.when(ok, members).otherwise(F.array("t"))).alias("j", "member"))
     w = Window.partitionBy(key).orderBy("i", "j")
-    return x.select(key, F.row_number().over(w).alias("pos"), member.alias("member"), "parsed")
+    return x.select(key, F.row_number().over(w).alias("pos"), "member", "parsed")
 
 
 def quarantine(df: DataFrame, by: list[str], bad: Column, share: float, least: int = 0) -> DataFrame:

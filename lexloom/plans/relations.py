@@ -184,8 +184,7 @@ def toc_split(spark, d):
 
 def list_members(spark, d):
     """Targets of each rule as a compressed list, expanded again."""
-    e = table(spark, d, "edge").where("kind = 'har_section'").select("edge_id", F.regexp_replace("raw", r"(?i)[§]|sections?|sec\.|HAR|HRS", "").alias("raw"))
-    return R.expand_lists(e.where(F.col("raw").rlike(r"^[\s0-9A-Z.,;\-]+$")), "edge_id", "raw")
+    return R.expand_lists(table(spark, d, "edge").where("kind = 'har_section'"), "edge_id", "raw")
 
 
 def repealed_ranges(spark, d):

@@ -46,3 +46,21 @@ def test_quarantine_and_search(spark):
     t = spark.createDataFrame([(1, "The Reef, and shore"), (2, "reef only"), (3, None), (4, "")], "id int, t string")
     assert [r.id for r in R.search(t, ["id"], "t", "shore REEF").collect()] == [1]
     assert {(r.token, r.n) for r in R.token_index(t, ["id"], "t").where("id = 2").collect()} == {("reef", 1), ("only", 1)}
+
+
+def test_expand_packed(spark):
+    """Quotes, pin cites, layer names, other separators and ranges of two-part numbers."""
+    get = lambda t: [(r.member, r.parsed) for r in R.expand_lists(spark.createDataFrame([(1, t)], "k int, t string"), "k", "t").orderBy("pos").collect()]
+    assert get('"13-275-1(a)"; HAR §13-275-2 & sec. 8-1-1.5(d)(2)/\'9-2-3\'|10-1-1\n11-1-1') == [(x, True) for x in ("13-275-1", "13-275-2", "8-1-1.5", "9-2-3", "10-1-1", "11-1-1")]
+    assert get("sections 549-2 to 549-4, 259K-2(c)(1), and 6-57-5 to 7") == [(x, True) for x in ("549-2", "549-3", "549-4", "259K-2", "6-57-5", "6-57-6", "6-57-7")]
+    assert get('"1-1-1","the ""Uniform Tank"" Act, as amended",733:6-33') == [("1-1-1", True), ('the "Uniform Tank" Act, as amended', False), ("733:6-33", True)]
+    assert get("13-275-1 to 13-276-5") == [("13-275-1", True), ("13-276-5", True)]
+
+
+def test_list_members_whole(spark, sf):
+    """Every citation of a rule with a text has members, and ranges are expanded."""
+    from lexloom.plans.relations import list_members
+    from lexloom.sources.tables import table
+
+    rows = table(spark, sf, "edge").where("kind = 'har_section' and raw rlike '[0-9]'")
+    assert list_members(spark, sf).select("edge_id").distinct().count() == rows.select("edge_id").distinct().count()
