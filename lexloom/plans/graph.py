@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.functions.ids import proper_section
+from lexloom.functions.ids import bare, namespaced, proper_section, squeeze
 from lexloom.operators import graph as G
 from lexloom.plans.sqlparts import GRAPH, LIVE
 from lexloom.sources.tables import table
 
 
+SECTIONS = ("hrs_section", "har_section")
+
+
+def citation_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Citations of all kinds, each target in its own name space: `hrs:1-2`, `hrs:ch:1A`, `usc:5:552`."""
+    layer = F.substring("kind", 1, 3)
+    chapter = F.concat(layer, F.lit(":ch:"), bare(F.regexp_replace(squeeze(F.col("target")), r"(?i)^(?:(?:hrs|har):?)?(?:ch:)?", "")))
+    dst = F.when(F.col("kind").isin(*SECTIONS), proper_section(F.col("target"), layer)).when(F.col("kind").isin("hrs_chapter", "har_chapter"), chapter).otherwise(namespaced(F.col("kind"), F.col("target")))
+    return table(spark, d, "edge").select("edge_id", "kind", "zone", "raw", proper_section(F.col("src")).alias("src"), dst.alias("dst"), F.col("edge_id").alias("seq"))
+
+
 def section_edges(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "edge").where(F.col("kind").isin("hrs_section", "har_section"))
-    return e.select("edge_id", "kind", "zone", "raw", proper_section(F.col("src")).alias("src"), proper_section(F.col("target"), F.substring("kind", 1, 3)).alias("dst"), F.col("edge_id").alias("seq"))
+    return citation_edges(spark, d).where(F.col("kind").isin(*SECTIONS))
 
 
 def live_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -37,7 +47,10 @@ def graph_orphans(spark, d):
 
 
 def graph_queue(spark, d):
-    return G.unresolved(section_edges(spark, d).where("zone = 'operative'"), table(spark, d, "sections").select("id"))
+    """Operative targets of all kinds that the corpus lacks: sections without a row, chapters without a section, everything outside; parts are no targets of their own."""
+    s = table(spark, d, "sections")
+    known = s.select("id").union(s.select(F.concat_ws(":ch:", "layer", "chapter")))
+    return G.unresolved(citation_edges(spark, d).where("zone = 'operative' and kind not in ('hrs_part', 'har_part', 'hrs_chapter_part')"), known)
 
 
 def _seeds(spark, d):

@@ -1,6 +1,16 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from lexloom.operators import graph as G
+from lexloom.plans import graph as P
+
+
+def corpus(spark, folder, edges, sections):
+    """Tables of a few rows: edges (src, kind, target, zone), sections (id, repealed)."""
+    spark.createDataFrame([(i, s, k, t, z, f"raw {t}") for i, (s, k, t, z) in enumerate(edges)], "edge_id long, src string, kind string, target string, zone string, raw string").write.parquet(f"{folder}/edge.parquet")
+    rows = [(x, x[:3], x[4:].rpartition("-")[0], r) for x, r in sections]
+    spark.createDataFrame(rows, "id string, layer string, chapter string, repealed int").withColumn("deleted_at", F.lit(None).cast("timestamp")).write.parquet(f"{folder}/sections.parquet")
+    return str(folder)
 
 
 def edges(spark):
@@ -45,3 +55,20 @@ def test_windows(spark):
     e = spark.createDataFrame([("u", t) for t in (1, 2, 9, 10, 30)], "u string, t int")
     assert [r.island for r in G.islands(e, ["u"], "t", F.col("t") - F.col("prev") > 5).orderBy("t").collect()] == [1, 1, 2, 2, 3]
     assert [r.t for r in G.keep_one(e, ["u"], [F.desc("t")]).collect()] == [30]
+
+
+def test_queue_of_all_kinds(spark, tmp_path):
+    kinds = [("hrs_section", "7-1"), ("hrs_section", "7-9"), ("har_section", "3-7-1"), ("hrs_chapter", "ch:7"), ("hrs_chapter", "ch:8A"), ("har_chapter", "ch:3-7"), ("har_chapter", "ch:3-8"), ("hrs_part", "ch:7:II")]
+    kinds += [("usc", "usc:5:552"), ("cfr", "cfr:5:2"), ("case", "case:1-H-2"), ("session_law", "slh:1999:1"), ("hi_const", "hiconst:I:1"), ("usc", None)]
+    d = corpus(spark, tmp_path, [("7-1", *k, "operative") for k in kinds] + [("7-1", "usc", "usc:9:9", "annotation")], [("hrs:7-1", 0), ("har:3-7-1", 0)])
+    assert {r.dst for r in P.graph_queue(spark, d).collect()} == {"hrs:7-9", "hrs:ch:8A", "har:ch:3-8", "usc:5:552", "cfr:5:2", "case:1-H-2", "slh:1999:1", "hiconst:I:1"}
+
+
+def test_queue_of_sections_as_in_sql(spark, sf):
+    """Of the kinds that the SQL covers, the same targets and counts."""
+    con = duckdb.connect()
+    for t in ("edge", "sections"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = sorted(con.execute(f"SELECT kind, dst, citations, sources, examples, first_raw FROM ({P.SQL['graph_queue']})").fetchall(), key=str)
+    rows = P.graph_queue(spark, sf).select("kind", "dst", "citations", "sources", "examples", "first_raw").collect()
+    assert sorted((tuple(r) for r in rows if r.kind in P.SECTIONS), key=str) == want and len(rows) > len(want)
