@@ -43,7 +43,7 @@ def graph_hub_labels(spark, d):
 
 
 def graph_orphans(spark, d):
-    return G.orphans(live_sections(spark, d), section_edges(spark, d).where("zone = 'operative'"))
+    return G.orphans(live_sections(spark, d), citation_edges(spark, d).where("zone = 'operative'"))
 
 
 def graph_queue(spark, d):
@@ -58,7 +58,8 @@ def _seeds(spark, d):
 
 
 def graph_out(spark, d):
-    return G.reach(section_edges(spark, d).where("zone = 'operative'"), _seeds(spark, d), 3)
+    """What repealed sections reach; targets of other kinds are leaves, as only sections have edges of their own."""
+    return G.reach(citation_edges(spark, d).where("zone = 'operative'"), _seeds(spark, d), 3)
 
 
 def graph_in(spark, d):
@@ -66,14 +67,16 @@ def graph_in(spark, d):
 
 
 def graph_both(spark, d):
-    e = section_edges(spark, d).where("zone in ('operative', 'annotation')")
-    return G.reach(e, _seeds(spark, d), 2).withColumn("direction", F.lit("out")).unionByName(G.reach(e, _seeds(spark, d), 2, reverse=True).withColumn("direction", F.lit("in")))
+    e = citation_edges(spark, d).where("zone in ('operative', 'annotation')")
+    between = e.where(F.col("kind").isin(*SECTIONS))
+    return G.reach(e, _seeds(spark, d), 2).withColumn("direction", F.lit("out")).unionByName(G.reach(between, _seeds(spark, d), 2, reverse=True).withColumn("direction", F.lit("in")))
 
 
 def graph_degrees(spark, d):
-    e = section_edges(spark, d).where("src is not null and dst is not null")
+    """Different targets of all kinds that a node cites, and different sources that cite a section."""
+    e = citation_edges(spark, d).where("src is not null and dst is not null")
     out = e.groupBy(F.col("src").alias("node")).agg(F.count_distinct("kind", "dst").alias("refs_out"))
-    in_ = e.groupBy(F.col("dst").alias("node")).agg(F.count_distinct("src").alias("refs_in"))
+    in_ = e.where(F.col("kind").isin(*SECTIONS)).groupBy(F.col("dst").alias("node")).agg(F.count_distinct("src").alias("refs_in"))
     return out.join(in_, "node", "full").select("node", F.coalesce("refs_out", F.lit(0)).alias("refs_out"), F.coalesce("refs_in", F.lit(0)).alias("refs_in"))
 
 

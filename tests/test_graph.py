@@ -72,3 +72,13 @@ def test_queue_of_sections_as_in_sql(spark, sf):
     want = sorted(con.execute(f"SELECT kind, dst, citations, sources, examples, first_raw FROM ({P.SQL['graph_queue']})").fetchall(), key=str)
     rows = P.graph_queue(spark, sf).select("kind", "dst", "citations", "sources", "examples", "first_raw").collect()
     assert sorted((tuple(r) for r in rows if r.kind in P.SECTIONS), key=str) == want and len(rows) > len(want)
+
+
+def test_other_kinds_count(spark, tmp_path):
+    edges = [("7-1", "hrs_section", "7-2", "operative"), ("7-2", "usc", "usc:5:552", "operative"), ("7-2", "hrs_chapter", "ch:8", "operative"), ("7-3", "case", "case:1-H-2", "operative"), ("7-4", "usc", "usc:9:9", "annotation")]
+    d = corpus(spark, tmp_path, edges, [("hrs:7-1", 1), ("hrs:7-2", 0), ("hrs:7-3", 0), ("hrs:7-4", 0)])
+    assert [r.id for r in P.graph_orphans(spark, d).collect()] == ["hrs:7-4"]
+    leaves = {("hrs:7-2", 1), ("usc:5:552", 2), ("hrs:ch:8", 2)}
+    assert {(r.node, r.depth) for r in P.graph_out(spark, d).collect()} == leaves
+    assert {(r.node, r.depth) for r in P.graph_both(spark, d).where("direction = 'out'").collect()} == leaves
+    assert {(r.node, r.refs_out, r.refs_in) for r in P.graph_degrees(spark, d).collect()} == {("hrs:7-1", 1, 0), ("hrs:7-2", 2, 1), ("hrs:7-3", 1, 0), ("hrs:7-4", 1, 0)}
