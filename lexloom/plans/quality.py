@@ -70,15 +70,18 @@ def missing_notes(spark, d):
 
 
 def rule_text_round_trip(spark, d):
-    """Rules put together from their zones and split again: sections and zones that come out otherwise, none expected."""
-    z = table(spark, d, "zones").where("zone in ('operative', 'source_note', 'auth', 'imp')").where("section_id like 'har:%' and body is not null").distinct()
-    z = z.where(F.when(F.col("zone") == "operative", ~F.col("body").rlike(r"[\[\](]")).when(F.col("zone") == "source_note", F.col("body").rlike(r"^\[Eff[^\[\]()]*\]$")).otherwise(F.col("body").rlike(r"^\((Auth|Imp):[^()]*\)$")))
-    p = z.groupBy("section_id").pivot("zone", ["operative", "source_note", "auth", "imp"]).agg(F.max(F.trim("body"))).where("operative is not null and source_note is not null and auth is not null and imp is not null")
-    text = p.select("section_id", F.concat_ws(" ", "operative", "source_note", "auth", "imp").alias("text"))
-    again = rule_zones(text, "section_id", "text")
-    return p.join(again.select("section_id", *[F.col(c).alias(f"n_{c}") for c in ("operative", "source_note", "auth", "imp")]), "section_id").where(
-        "not (operative <=> n_operative and source_note <=> n_source_note and auth <=> n_auth and imp <=> n_imp)"
-    ).select("section_id")
+    """Rules put together from the zones they have and split again: sections of which a zone comes out otherwise, missing ones included.
+
+    Notes that are kept without their parentheses or label get them back, as they are printed."""
+    names = ["operative", "source_note", "auth", "imp"]
+    z = table(spark, d, "zones").where(F.col("zone").isin(*names)).where("section_id like 'har:%' and trim(body) <> ''")
+    trim = lambda c: F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    printed = lambda c, label: F.when(c.rlike(r"^\(\s*[A-Za-z1][A-Za-z1\s]{1,6}:"), c).when(c.rlike(rf"(?i)^{label}\s*:"), F.concat(F.lit("("), c, F.lit(")"))).otherwise(F.concat(F.lit(f"({label}: "), c, F.lit(")")))
+    p = z.groupBy("section_id").pivot("zone", names).agg(F.max(trim(F.col("body"))))
+    p = p.withColumns({"auth": printed(F.col("auth"), "Auth"), "imp": printed(F.col("imp"), "Imp")})
+    again = rule_zones(p.select("section_id", F.concat_ws(" ", *names).alias("text")), "section_id", "text")
+    j = p.join(again.select("section_id", *[trim(F.col(c)).alias(f"n_{c}") for c in names]), "section_id")
+    return j.where(" or ".join(f"not ({c} <=> n_{c})" for c in names)).select("section_id")
 
 
 def citation_pages(spark, d):
