@@ -64,7 +64,9 @@ def definitions(text: str, is_definitions: bool) -> list[tuple[str, str, str, st
 
 
 def extract_definitions(df: DataFrame, section: str, text: str, catchline: str) -> DataFrame:
-    """One row per term and section: section, seq, term, term_norm, verb, scope (unstated ones as they are), body, imports_from. Null and empty texts have none."""
+    """One row per term and section: section, seq, term, term_norm, verb, scope, body, imports_from. Null and empty texts have none.
+
+    A term without a declaration counts for the chapter in a section of definitions, else for its section."""
     src = df.select(F.col(section).alias("section"), F.col(text).alias("t"), F.coalesce(F.col(catchline), F.lit("")).alias("c")).where(F.col("t") != "")
     names = ["section", "seq", "term", "term_norm", "verb", "scope", "body", "imports_from"]
 
@@ -72,7 +74,9 @@ def extract_definitions(df: DataFrame, section: str, text: str, catchline: str)
         for b in batches:
             out = []
             for s, t, c in zip(*(b.column(x).to_pylist() for x in ("section", "t", "c"))):
-                out += [(s, n, term, " ".join(term.lower().split()), verb, scope, body, imp) for n, (term, verb, scope, body, imp) in enumerate(definitions(t, c.lower().startswith("definitions")))]
+                general = c.lower().startswith("definitions")
+                default = "chapter" if general else "section"
+                out += [(s, n, term, " ".join(term.lower().split()), verb, default if scope == "unstated" else scope, body, imp) for n, (term, verb, scope, body, imp) in enumerate(definitions(t, general))]
             cols = list(zip(*out)) if out else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "seq" else pa.string()) for c, n in zip(cols, names)], names=names)
 

@@ -93,17 +93,28 @@ def definition_scopes(spark, d):
     return _defined(spark, d)[1].groupBy("scope").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("term_norm").alias("terms"))
 
 
+def _keyed(docs, defs):
+    """Definitions with the place where they count; documents have no part, subpart or title."""
+    none = F.lit(None).cast("string")
+    return defs.join(docs, "section").select("term_norm", "scope", "section", D.scope_key(F.col("scope"), F.col("section"), F.col("unit"), none, none, none).alias("scope_key"), F.col("section").cast("bigint").alias("seq"))
+
+
 def definition_collisions(spark, d):
     docs, defs = _defined(spark, d)
-    return D.collisions(defs.where("scope = 'chapter'").join(docs, "section").select("term_norm", F.concat(F.lit("ch:"), "unit").alias("scope_key")))
+    return D.collisions(_keyed(docs, defs))
 
 
 def definition_at(spark, d):
-    """Definitions that govern in each unit: counts of controlling and shadowed ones per term. Documents of a unit see the same scopes, so each unit is resolved once."""
+    """Definitions that govern in each unit: counts of controlling and shadowed ones per term. Documents of a unit see the same scopes, so each unit is resolved once,
+    and a document besides for the terms that it defines for itself alone."""
     docs, defs = _defined(spark, d)
-    defs = defs.where("scope = 'chapter'").join(docs, "section").select("term_norm", F.concat(F.lit("ch:"), "unit").alias("scope_key"), F.col("section").cast("bigint").alias("seq"))
-    places = docs.where("unit <> ''").select(F.col("unit").alias("section"), F.col("unit").alias("chapter"), F.lit("").alias("part"), F.lit("").alias("subpart"), F.lit(None).cast("string").alias("title"))
-    r = D.resolve(places, defs)
+    defs = _keyed(docs, defs)
+    own = defs.where("scope = 'section'").select("section", "term_norm").distinct()
+    rest = [F.lit("").alias("part"), F.lit("").alias("subpart"), F.lit(None).cast("string").alias("title")]
+    units = docs.where("unit <> ''").select(F.concat(F.lit("unit:"), "unit").alias("section"), F.col("unit").alias("chapter"), *rest)
+    alone = docs.join(own.select("section").distinct(), "section", "left_semi").select("section", F.nullif("unit", F.lit("")).alias("chapter"), *rest)
+    defs = defs.select("term_norm", "scope_key", "seq")
+    r = D.resolve(units, defs).unionByName(D.resolve(alone, defs).join(own, ["section", "term_norm"], "left_semi"))
     return r.groupBy("term_norm").agg(F.count_if("controls").alias("places"), F.count_if(~F.col("controls")).alias("shadowed"))
 
 

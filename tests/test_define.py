@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from lexloom.operators import define as D
+from lexloom.plans import text as P
 
 TEXT = 'For the purposes of this section: "Ferry" means a boat. In this chapter, "Port" includes a harbor, as defined in section 7-9; "ferry" means another.'
 
@@ -38,3 +39,12 @@ def test_resolve(spark):
 def test_scope_key(spark):
     df = spark.createDataFrame([("part", "7-1", "7", "", "", "1"), ("subpart", "7-1", "7", "I", "A", "1"), ("unstated", "7-1", "7", "", "", "1")], "k string, s string, c string, p string, u string, t string")
     assert [r[0] for r in df.select(D.scope_key(*[F.col(x) for x in "kscput"])).collect()] == [None, "ch:7:I:A", None]
+
+
+def test_undeclared_scopes(spark, tmp_path):
+    df = spark.createDataFrame([("s1", '"Ferry" means a boat.', "x"), ("s2", '"Ferry" means a boat.', "Definitions")], "id string, t string, c string")
+    assert {(r.section, r.scope) for r in D.extract_definitions(df, "id", "t", "c").collect()} == {("s1", "section"), ("s2", "chapter")}
+    docs = [(1, '"Ferry" means a boat.', "7"), (2, 'In this chapter, the ferry means a ship.', "7"), (3, '"Port" means a harbor.', "7")]
+    spark.createDataFrame(docs, "doc_id long, text string, unit_id string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {(r.term_norm, r.places, r.shadowed) for r in P.definition_at(spark, str(tmp_path)).collect()} == {("ferry", 2, 1), ("port", 1, 0)}
+    assert {(r.term_norm, r.scopes) for r in P.definition_collisions(spark, str(tmp_path)).collect()} == {("ferry", 2)}
