@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.session import durable
 
 
-def reach(edges: DataFrame, seeds: DataFrame, depth: int, reverse: bool = False) -> DataFrame:
-    """Everything that each seed reaches in up to `depth` steps: seed, node, depth (the least), on_cycle.
+def reach(edges: DataFrame, seeds: DataFrame, depth: int | None, reverse: bool = False) -> DataFrame:
+    """Everything that each seed reaches in up to `depth` steps (None: until nothing new is met): seed, node, depth (the least), on_cycle.
 
     edges: src, dst. seeds: seed. Breadth first: each round joins the last level with the edges and drops what a seed has
     met before, so a node comes once per seed, at its least depth. on_cycle marks the seed itself where it is met again. Targets
@@ -18,13 +20,15 @@ def reach(edges: DataFrame, seeds: DataFrame, depth: int, reverse: bool = False)
     e = durable(edges.select(F.col(a).alias("from_"), F.col(b).alias("node")).where("from_ is not null and node is not null").distinct())
     level = seeds.select("seed").where(F.col("seed").isNotNull()).distinct().select("seed", F.col("seed").alias("at"))
     met = None
-    for d in range(1, depth + 1):
+    for d in count(1) if depth is None else range(1, depth + 1):
         level = level.join(e, F.col("at") == F.col("from_")).select("seed", "node").distinct()
         if met is not None:
             level = level.join(met.select("seed", "node"), ["seed", "node"], "left_anti")
         level = durable(level)  # read by the next rounds; else each would begin from the edges again
         step = level.select("seed", "node", F.lit(d).alias("depth"))
         met = step if met is None else met.unionByName(step)
+        if depth is None and level.isEmpty():
+            break
         level = level.where(F.col("seed") != F.col("node")).select("seed", F.col("node").alias("at"))
     return met.withColumn("on_cycle", F.col("seed") == F.col("node"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.functions.ids import bare, namespaced, proper_section, squeeze
+from lexloom.functions.ids import bare, namespaced, proper_section, proper_target, squeeze
 from lexloom.operators import graph as G
 from lexloom.plans.sqlparts import GRAPH, LIVE
 from lexloom.sources.tables import table
@@ -113,9 +113,9 @@ def rules_by_statute(spark, d):
 
 
 def renumbering(spark, d):
-    """Old numbers to new ones, followed to the end of each chain (at most 8 steps)."""
-    e = table(spark, d, "edges").where("relation = 'renumbered_from' and src is not null and dst is not null").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return G.reach(e, e.select(F.col("src").alias("seed")), 4).select("seed", "node", "depth")
+    """Old numbers to new ones, followed to the end of each chain, in proper form."""
+    e = table(spark, d, "edges").where("relation = 'renumbered_from' and src is not null and dst is not null").select(proper_target(F.col("dst")).alias("src"), proper_target(F.col("src")).alias("dst"))
+    return G.reach(e, e.select(F.col("src").alias("seed")), None).select("seed", "node", "depth")
 
 
 _OUT = """WITH RECURSIVE {graph}, e AS (SELECT DISTINCT {a} AS a, {b} AS b FROM g WHERE {where} AND src IS NOT NULL AND dst IS NOT NULL),

@@ -82,3 +82,11 @@ def test_other_kinds_count(spark, tmp_path):
     assert {(r.node, r.depth) for r in P.graph_out(spark, d).collect()} == leaves
     assert {(r.node, r.depth) for r in P.graph_both(spark, d).where("direction = 'out'").collect()} == leaves
     assert {(r.node, r.refs_out, r.refs_in) for r in P.graph_degrees(spark, d).collect()} == {("hrs:7-1", 1, 0), ("hrs:7-2", 2, 1), ("hrs:7-3", 1, 0), ("hrs:7-4", 1, 0)}
+
+
+def test_renumbering_to_the_end(spark, tmp_path):
+    chain = [(f"hrs:7-{i + 1}", f"HRS 7-{i}" if i % 2 else f"hrs:7-{i}", "renumbered_from") for i in range(1, 8)]
+    spark.createDataFrame([*chain, ("hrs:9-1", "hrs:9-2", "renumbered_from"), ("hrs:9-2", "hrs:9-1", "renumbered_from")], "src string, dst string, relation string").write.parquet(f"{tmp_path}/edges.parquet")
+    rows = P.renumbering(spark, str(tmp_path)).collect()
+    assert {(r.node, r.depth) for r in rows if r.seed == "hrs:7-1"} == {(f"hrs:7-{i}", i - 1) for i in range(2, 9)}
+    assert len(rows) == 28 + 4
