@@ -59,6 +59,7 @@ def proper_target(c: Column) -> Column:
     )
 
 
+# Fixed value: the forms of a statute section number.
 SECTION = r"(?:\d{3}[A-Z]?:\d+[A-Z]?-\d+(?:\.\d+)?|\d+[A-Z]?-\d+(?:\.\d+)?)"
 
 

@@ -59,3 +59,30 @@ def test_extract(spark):
 def test_runs(spark):
     s = spark.createDataFrame([(1, 0, 5), (1, 6, 9), (1, 20, 25), (1, 2, 4)], "d int, s int, e int")
     assert {(r.start, r.end, r.members) for r in C.runs(s, ["d"], "s", "e").collect()} == {(0, 9, 3), (20, 25, 1)}
+
+
+def test_case_notes(spark):
+    text = "Case Notes\n\nHeld in 12 H. 34,\n56 P.3d 78 (2001).\n\n56 L. Ed. 2d 7; 9 U.S. 3. 5 U.S.C. 7.\n \nU. Haw. L. Rev. 20 U. Haw. L. Rev. 15"
+    df = spark.createDataFrame([("s", text), ("t", None), ("u", "")], "id string, body string")
+    rows = C.case_notes(df, ["id"], "body").orderBy("paragraph", "seq").collect()
+    assert [(r.paragraph, r.target, r.raw) for r in rows] == [(1, "case:12-H-34", "12 H. 34, 56 P.3d 78 (2001)"), (2, "case:56-LEd2d-7", "56 L. Ed. 2d 7; 9 U.S. 3"), (3, "lrev:20-UHawLRev-15", "20 U. Haw. L. Rev. 15")]
+    assert rows[0].context == "Held in 12 H. 34, 56 P.3d 78 (2001)."
+
+
+def test_opinions():
+    got = [x[:2] for x in C.opinion_citations("see 3-160-2 to 3-160-5, chapter 3-161 and section 11-1")]
+    assert got == [("har_section", "har:3-160-2"), ("har_section", "har:3-160-5"), ("har_chapter", "har:ch:3-161"), ("hrs_section", "11-1")]
+
+
+def test_note_rows(spark):
+    df = spark.createDataFrame([(1, "(Auth: HRS §§11-1, 42 U.S.C. §1983) 77"), (2, None), (3, "none")], "id int, t string")
+    assert [(r.id, r.kind, r.target) for r in C.note_citations(df, ["id"], "t").orderBy("id", "seq").collect()][:2] == [(1, "hrs_section", "11-1"), (1, "usc", "usc:42:1983")]
+    assert C.note_citations(df, ["id"], "t").where("kind = 'leftover'").count() == 1
+
+
+def test_heal_rows(spark):
+    notes = spark.createDataFrame([("a", "(Imp: §211-15, 1l-3)"), ("b", "(Imp: §211-15)"), ("c", None)], "id string, note string")
+    att = spark.createDataFrame([("a", "11-15"), ("a", "11-3"), ("a", None), ("c", "1-1")], "id string, target string")
+    rows = {r.id: r for r in C.heal_notes(notes, "id", "note", att).collect()}
+    assert rows["a"].note == "(Imp: §11-15, 11-3)" and [x.how for x in rows["a"].repairs] == ["glued", "misread"]
+    assert rows["b"].note == "(Imp: §211-15)" and rows["b"].repairs == [] and rows["c"].note is None
