@@ -12,14 +12,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Scopes from the narrowest, and the words that declare them.
+# Scopes from the narrowest, the words that declare each of them before `this <scope>`, the verbs of a definition, and the words before a definition taken from elsewhere.
 SCOPES = ["section", "subpart", "part", "chapter", "title", "unstated"]
-_DECLARE = re.compile(r"\b(?:in|purposes?\s+of)\s+this\s+(section|subpart|part|chapter|title)\b|\bfor\s+this\s+purpose\b", re.I)
-VERBS = r"means|includes|has\s+the\s+same\s+meaning|shall\s+mean|shall\s+have\s+the\s+same\s+meaning|denotes|refers\s+to"
-_QUOTED = re.compile(rf"[\"“]([^\"“”\n]{{2,80}})[\"”]\s+({VERBS})\b", re.I)
-_COMMA = re.compile(r"[\"“]([^\"“”\n]{2,80})[\"”],\s+(?=[a-z\"“])")
-_PLAIN = re.compile(rf"\bin\s+this\s+(?:section|subpart|part|chapter|title),\s+the\s+([a-z][a-z \-]{{2,60}}?)\s+({VERBS})\b", re.I)
-_IMPORT = re.compile(r"(?:defined\s+in|same\s+meaning\s+as(?:\s+that)?(?:\s+defined)?\s+in)\s+(?:section\s+)?([0-9A-Z]+(?::[0-9A-Z]+)?-[0-9]+(?:\.[0-9]+)?)", re.I)
+LEADS = {"section": ["for purposes of", "for the purposes of", "as used in"], "subpart": ["in"], "part": ["in", "for purposes of", "for the purposes of"], "chapter": ["in", "for purposes of", "for the purposes of"], "title": ["in", "for purposes of", "for the purposes of"]}
+HERE = "for this purpose"
+VERB_WORDS = ["means", "includes", "has the same meaning", "shall mean", "shall have the same meaning", "denotes", "refers to"]
+ELSEWHERE = ["defined in", "same meaning as in", "same meaning as defined in", "same meaning as that in", "same meaning as that defined in"]
+
+
+def _any(phrases: list[str]) -> str:
+    """A pattern of any of some phrases, the longest first, with white space between their words and `purpose` beside `purposes`."""
+    return "(?:" + "|".join(r"\s+".join(p.split()).replace("purposes", "purposes?") for p in sorted(phrases, key=len, reverse=True)) + ")"
+
+
+VERBS = _any(VERB_WORDS)
+_DECLARE = re.compile(r"\b(?:" + "|".join(rf"{_any(LEADS[k])}\s+this\s+(?P<{k}>{k})" for k in LEADS) + rf"|{_any([HERE])})\b", re.I)
+_TERM = r"[\"“]([^\"“”\n]{2,80})[\"”]"
+_QUOTED, _COMMA = re.compile(rf"{_TERM}\s+({VERBS})\b", re.I), re.compile(rf"{_TERM},\s+(?=[a-z\"“])")
+_PLAIN = re.compile(rf"\bin\s+this\s+(?:{'|'.join(LEADS)}),\s+the\s+([a-z][a-z \-]{{2,60}}?)\s+({VERBS})\b", re.I)
+_IMPORT = re.compile(rf"{_any(ELSEWHERE)}\s+(?:section\s+)?([0-9A-Z]+(?::[0-9A-Z]+)?-[0-9]+(?:\.[0-9]+)?)", re.I)
 #: Some of these is in every verb above.
 _STEMS = ("mean", "include", "denote", "refer")
 #: Declarations this close to the last kept one count as one, of the narrower kind.
@@ -27,10 +38,15 @@ NEAR = 12
 BODY, BODY_MOST, IMPORT_WITHIN = 700, 1200, 300
 
 
+def norm(term: str) -> str:
+    """A term as it is compared: in lower case, on one line, without marks at its ends."""
+    return " ".join(term.lower().split()).strip(" .,")
+
+
 def declarations(text: str) -> list[tuple[int, str]]:
     """(end, scope) of each scope declaration, in order; near ones collapse to the narrower."""
     kept: list[tuple[int, str]] = []
-    for end, kind in ((m.end(), (m[1] or "section").lower()) for m in _DECLARE.finditer(text)):
+    for end, kind in ((m.end(), m.lastgroup or "section") for m in _DECLARE.finditer(text)):
         if kept and end - kept[-1][0] < NEAR:
             if SCOPES.index(kind) < SCOPES.index(kept[-1][1]):
                 kept[-1] = (kept[-1][0], kind)
@@ -52,8 +68,8 @@ def definitions(text: str, is_definitions: bool) -> list[tuple[str, str, str, st
     out, seen = [], set()
     for i, (start, end, term, verb) in enumerate(at):
         stop = at[i + 1][0] if i + 1 < len(at) else end + BODY
-        name = " ".join(term.lower().split())
-        if name in seen:
+        name = norm(term)
+        if name in seen or len(name) < 2:
             continue
         seen.add(name)
         scope = next((k for e, k in reversed(declared) if e <= max(start, end - len(term) - len(verb) - 2)), "unstated")
@@ -76,7 +92,7 @@ def extract_definitions(df: DataFrame, section: str, text: str, catchline: str)
             for s, t, c in zip(*(b.column(x).to_pylist() for x in ("section", "t", "c"))):
                 general = c.lower().startswith("definitions")
                 default = "chapter" if general else "section"
-                out += [(s, n, term, " ".join(term.lower().split()), verb, default if scope == "unstated" else scope, body, imp) for n, (term, verb, scope, body, imp) in enumerate(definitions(t, general))]
+                out += [(s, n, term, norm(term), verb, default if scope == "unstated" else scope, body, imp) for n, (term, verb, scope, body, imp) in enumerate(definitions(t, general))]
             cols = list(zip(*out)) if out else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "seq" else pa.string()) for c, n in zip(cols, names)], names=names)
 
@@ -111,6 +127,17 @@ def collisions(defined: DataFrame) -> DataFrame:
     return defined.groupBy("term_norm").agg(F.count_distinct("scope_key").alias("scopes")).where("scopes > 1")
 
 
+def terms_of(defined: DataFrame, section: str) -> DataFrame:
+    """The terms that a section defines, in order."""
+    return defined.where(F.col("section") == section).orderBy("term_norm")
+
+
+def scopes_of(defined: DataFrame, term: str) -> DataFrame:
+    """All definitions of one term, the narrowest scope first, then by section."""
+    rank = F.array_position(F.array(*[F.lit(k) for k in SCOPES]), F.col("scope"))
+    return defined.where(F.col("term_norm") == norm(term)).withColumn("scope_rank", (rank - 1).cast("int")).orderBy("scope_rank", "section")
+
+
 def suggest(defined: DataFrame, part_of_term: str, n: int = 8) -> DataFrame:
     """Terms that hold a text, in order, at most n."""
-    return defined.where(F.col("term_norm").contains(part_of_term.lower())).select("term_norm").distinct().orderBy("term_norm").limit(n)
+    return defined.where(F.col("term_norm").contains(norm(part_of_term))).select("term_norm").distinct().orderBy("term_norm").limit(n)

@@ -48,3 +48,19 @@ def test_undeclared_scopes(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, unit_id string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {(r.term_norm, r.places, r.shadowed) for r in P.definition_at(spark, str(tmp_path)).collect()} == {("ferry", 2, 1), ("port", 1, 0)}
     assert {(r.term_norm, r.scopes) for r in P.definition_collisions(spark, str(tmp_path)).collect()} == {("ferry", 2)}
+
+
+def test_declared_scopes():
+    """A mention of the section declares nothing; what is used in it or defined for its purposes does."""
+    text = 'In this chapter: "Board" means x. Nothing in this section applies here. "Fish" means y. As used in this section: "Port" means z.'
+    assert [(t, s) for t, _, s, _, _ in D.definitions(text, False)] == [("Board", "chapter"), ("Fish", "chapter"), ("Port", "section")]
+    leads = ["in this subpart", "in this part", "for purposes of this title", "for the purpose of this chapter", "for this purpose", "for the purposes of this section", "in this section"]
+    assert [[k for _, k in D.declarations(x)] for x in leads] == [["subpart"], ["part"], ["title"], ["chapter"], ["section"], ["section"], []]
+    got = D.definitions('"Port," means a harbor; "Ferry" has the same meaning as in section 7-9', False)
+    assert [(D.norm(t), i) for t, _, _, _, i in got] == [("port", None), ("ferry", "7-9")]
+
+
+def test_listings(spark):
+    defs = spark.createDataFrame([("7-2", "ferry", "chapter"), ("7-1", "ferry", "section"), ("7-1", "boat", "title"), ("7-3", "ferry", "section")], "section string, term_norm string, scope string")
+    assert [r.term_norm for r in D.terms_of(defs, "7-1").collect()] == ["boat", "ferry"]
+    assert [(r.section, r.scope_rank) for r in D.scopes_of(defs, " Ferry.").collect()] == [("7-1", 0), ("7-3", 0), ("7-2", 3)]
