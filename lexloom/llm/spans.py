@@ -4,7 +4,8 @@ A suffix automaton of a reference shard gives, for a document streamed through i
 character (matching statistics); the maximal matches of at least `min_chars` are the shared spans. Broadcasting the
 automata of all shards to all documents costs the square of the corpus, so each document is streamed only through the
 shards that it can share a span with. Routing loses none: of every span of min_chars characters the k-gram of smallest
-hash is a key, so two texts with a common span have a common key.
+hash is a key, so two texts with a common span have a common key. A reference goes once to each group of its documents; its shards' automata
+are built when a document comes that holds a span with the hash of one of theirs, and only the stretches of such spans are streamed.
 
 Keys that many texts have (standing phrases shorter than min_chars) are replaced by the hashes of all spans of
 min_chars characters around them, which is exact and spreads them over as many keys as there are contexts.
@@ -12,7 +13,9 @@ min_chars characters around them, which is exact and spreads them over as many k
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +31,10 @@ WIDE = 48
 SAMPLE_ONE_IN, SAMPLE_HITS, SAMPLE_KEYS = 64, 12, 4096
 #: Bits of the filter that keeps documents without partners out of the shuffle; its table has at most FILTER_BITS / 64 rows.
 FILTER_BITS = 1 << 23
-#: Characters of one reference shard.
-SHARD = 100_000
+#: Characters of one reference shard, and automata of one reference that are kept built.
+SHARD, BUILT = 100_000, 4
+#: Documents that one copy of a reference serves; a reference of more is sent to several tasks.
+PARTNERS = 256
 
 
 def sliding(x: np.ndarray, w: int, op) -> np.ndarray:
@@ -134,34 +139,83 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def stretches(at: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """The union of the windows of `length` characters that begin at each of the sorted places."""
+    if not len(at):
+        return []
+    cut = np.flatnonzero(np.diff(at) > length)
+    first, last = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(at) - 1]])
+    return list(zip(at[first].tolist(), (at[last] + length).tolist()))
+
+
+def among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of x are in known, a sorted array."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 class Shards:
-    """The automata of a reference text, cut into shards that overlap by one character less than a span."""
+    """A reference text in shards that overlap by one character less than a span, and the automata of those that were asked for."""
 
     def __init__(self, text: str, least: int):
         self.text, self.least = text, least
-        self.parts = [text[i : i + SHARD + least - 1] for i in range(0, max(1, len(text) - least + 1), SHARD)]
-        self.autos: list[Automaton] | None = [Automaton(p) for p in self.parts] if len(self.parts) == 1 else None
+        self.prefix = prefix_hash(code_points(text))
+        self.h = self._windows(self.prefix, least)
+        self.shards = [np.unique(self.h[i : i + SHARD]) for i in range(0, len(self.h), SHARD)]
+        self.built: dict[int, Automaton] = {}
+
+    @staticmethod
+    def _windows(prefix: np.ndarray, size: int, start: int = 0, end: int | None = None) -> np.ndarray:
+        at = np.arange(start, max(start, (len(prefix) - 1 if end is None else end) - size + 1))
+        return span_hash(prefix, at, at + size)
+
+    def automaton(self, n: int) -> Automaton:
+        if (auto := self.built.pop(n, None)) is None:
+            if len(self.built) >= BUILT:
+                del self.built[next(iter(self.built))]
+            auto = Automaton(self.text[n * SHARD : (n + 1) * SHARD + self.least - 1])
+        self.built[n] = auto
+        return auto
 
     def shared(self, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
-        """The shared spans in the reference and in `text`, each as a union, and the longest match."""
-        mine, theirs, longest = [], [], 0
-        for n, part in enumerate(self.parts):
-            auto = self.autos[n] if self.autos else Automaton(part)
-            for s, e in auto.spans(text, self.least):
-                theirs.append((s, e))
-                piece, at = text[s:e], -1
-                while (at := self.text.find(piece, at + 1)) >= 0:
-                    mine.append((at, at + e - s))
-                longest = max(longest, e - s)
-        for s, e in theirs if len(self.parts) > 1 else ():  # a span over a shard's end goes on in the next shard
-            while e < len(text) and text[s : e + 1] in self.text:
-                e += 1
-            longest = max(longest, e - s)
-        return union(mine), union(theirs), longest
+        """The shared spans in the reference and in `text`, each as a union, and the longest match.
+
+        The automaton decides which spans of `text` the reference holds; where they stand in the reference is looked up by their hashes."""
+        least = self.least
+        prefix = prefix_hash(code_points(text))
+        h = self._windows(prefix, least)
+        sure, found, longest = np.zeros(len(h), bool), [], 0
+        for n, known in enumerate(self.shards):
+            for s, e in stretches(np.flatnonzero(among(h, known)), least):
+                for x, y in self.automaton(n).spans(text[s:e], least):
+                    sure[s + x : s + y - least + 1] = True
+                    found.append((s + x, s + y))
+                    longest = max(longest, y - x)
+        if not longest:
+            return [], [], 0
+        theirs = union(found)
+        mine = stretches(np.flatnonzero(among(self.h, np.unique(h[sure]))), least)
+        return mine, theirs, longest if len(self.shards) == 1 else self._longest(prefix, mine, theirs, longest)
+
+    def _longest(self, prefix: np.ndarray, mine: list[tuple[int, int]], theirs: list[tuple[int, int]], low: int) -> int:
+        """The longest match where one may go over the ends of shards: at least `low`, at most the longest stretch on both sides."""
+        high = min(max(e - s for s, e in x) for x in (mine, theirs))
+
+        def common(size: int) -> bool:
+            a, b = (np.concatenate([self._windows(p, size, s, e) for s, e in x if e - s >= size]) for p, x in ((self.prefix, mine), (prefix, theirs)))
+            return bool(among(a, np.sort(b)).any())
+
+        if high > low and common(high):
+            return high
+        while low < high - 1:
+            size = (low + high) // 2
+            low, high = (size, high) if common(size) else (low, size)
+        return low
 
 
 def _keyed(src: DataFrame, length: int, k: int, hot: np.ndarray) -> DataFrame:
-    """(key, h, doc) of the selected k-grams of each text; a hot one gives the keys of the spans around it."""
+    """(key, doc) of the selected k-grams of each text; a hot one gives the keys of the spans around it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -181,19 +235,33 @@ def _keyed(src: DataFrame, length: int, k: int, hot: np.ndarray) -> DataFrame:
                 first = np.ones(len(t), bool)
                 first[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
                 t, h = t[first], h[first]
-                idx = pa.array(t + a)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("h").take(idx), b.column("doc").take(idx)], names=["key", "h", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("doc").take(pa.array(t + a))], names=["key", "doc"])
                 a = z
 
-    return src.select("t", "h", "doc").mapInArrow(run, "key bigint, h bigint, doc bigint")
+    return src.select("t", "doc").mapInArrow(run, "key bigint, doc bigint")
 
 
 def _in_common(keyed: DataFrame) -> DataFrame:
-    """The rows of keys that several different texts have, with one document for each text: one shuffle, one sort, no buffers."""
-    w = Window.partitionBy("key").orderBy("h", "doc")
-    rep = F.first("doc").over(Window.partitionBy("key", "h").orderBy("doc"))
-    x = keyed.select("key", "h", "doc", F.lag("h").over(w).alias("p"), F.lead("h").over(w).alias("n"), rep.alias("rep"))
-    return x.where((F.col("p") != F.col("h")) | (F.col("n") != F.col("h"))).select("key", F.col("rep").alias("doc"))
+    """(key, doc, n, least) of the keys that several documents have, with their number and the smallest of them.
+
+    The keys are written once; a partial aggregate finds the common ones, so that the rows of one key never have to meet in one task, and the join
+    with them is one that adaptive execution splits."""
+    spark, folder = keyed.sparkSession, checkpoint_folder(keyed.sparkSession)
+    path = f"{folder}/keys-{uuid.uuid4()}"
+    keyed.write.parquet(path)
+    rows = spark.read.parquet(path)
+    common = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("least"), F.max("doc").alias("most")).where("least <> most").select("key", "n", "least")
+    out = durable(rows.join(common, "key").select("key", "doc", "n", "least"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return out
+
+
+def checkpoint_folder(spark) -> str:
+    """The shared folder that lineage cuts go to."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        durable(spark.range(1))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
 def listed(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
@@ -218,12 +286,6 @@ def without(docs: DataFrame, key: str, ids: DataFrame, bits: int = FILTER_BITS)
     return sure.unionByName(x.where("_listed").drop("_listed").join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_anti").select(*docs.columns))
 
 
-def _pairs_of(common: DataFrame) -> DataFrame:
-    """Pairs of documents with a common key."""
-    a, b = common.select("key", F.col("doc").alias("a")), common.select("key", F.col("doc").alias("b"))
-    return a.join(b, "key").where("a < b").select("a", "b")
-
-
 class SharedSpans:
     """Spans of at least min_chars characters that texts of different documents hold character for character.
 
@@ -232,69 +294,79 @@ class SharedSpans:
     """
 
     def __init__(self, docs: DataFrame, key: str, text: str, min_chars: int = 240, k: int | None = None):
-        self.least = min_chars
-        k = k or min_chars * 7 // 12
+        self.least, self.k = min_chars, k or min_chars * 7 // 12
         t = F.col(f"`{text}`")
         self.docs = docs.select(F.col(f"`{key}`").cast("bigint").alias("doc"), t.alias("t")).where(F.col("doc").isNotNull() & (F.length("t") >= min_chars))
         # Of copies one goes on; a text that many documents have meets in a partial aggregate, never in one task.
         self.members = durable(self._copies())
-        src = without(self.docs, "doc", self.members.where("doc <> rep").select("doc")).withColumn("h", F.xxhash64("t"))
-        hot = self._hot(src, k)
-        common = durable(_in_common(_keyed(src, min_chars, k, hot)).distinct())
-        size = common.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        # a key of a whole span (even) proves its pairs; a k-gram of many texts (odd) is replaced by whole spans
-        wide = size.where((F.col("n") > WIDE) & (F.col("key").bitwiseAND(1) == 1)).select("key")
-        again = common.join(wide, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("keys"))
-        texts = only(self.docs, "doc", again.select("doc")).join(again, "doc")
-        spans = _in_common(self._whole_spans(texts, k)).distinct()
-        pairs = _pairs_of(common.join(wide, "key", "left_anti")).unionByName(_pairs_of(spans)).distinct()
-        self.candidates = durable(pairs)
 
-    def _hot(self, src: DataFrame, k: int) -> np.ndarray:
+    @cached_property
+    def common(self) -> DataFrame:
+        """(key, doc, n, least): k-grams (odd) of at most WIDE texts, and whole spans (even) of any number of texts, which prove that they share."""
+        src = without(self.docs, "doc", self.members.where("doc <> rep").select("doc"))
+        first = _in_common(_keyed(src, self.least, self.k, self._hot(src)))
+        # a k-gram of many texts is replaced by the whole spans around it
+        wide = (F.col("n") > WIDE) & (F.col("key").bitwiseAND(1) == 1)
+        again = first.where(wide).groupBy("doc").agg(F.collect_set("key").alias("keys"))
+        texts = only(self.docs, "doc", again.select("doc")).join(again, "doc")
+        return first.where(~wide).unionByName(_in_common(self._whole_spans(texts)))
+
+    def candidates(self, one_each: bool = False) -> DataFrame:
+        """Pairs (a, b), a < b, that may share a span. one_each: of a whole span the first text stands for all, so that there are as many pairs as texts."""
+        a, b = self.common.select("key", F.col("doc").alias("a")), self.common.select("key", F.col("doc").alias("b"))
+        if not one_each:
+            return durable(a.join(b, "key").where("a < b").select("a", "b").distinct())
+        odd = F.col("key").bitwiseAND(1) == 1
+        narrow = a.where(odd).join(b.where(odd), "key").where("a < b").select("a", "b")
+        return durable(narrow.unionByName(self.common.where(~odd & (F.col("least") < F.col("doc"))).select(F.col("least").alias("a"), F.col("doc").alias("b"))).distinct())
+
+    def _hot(self, src: DataFrame) -> np.ndarray:
         some = src.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0)
-        keys = _keyed(some, self.least, k, np.zeros(0, np.uint64)).groupBy("key").agg(F.count_distinct("h").alias("n")).where(F.col("n") >= SAMPLE_HITS)
+        keys = _keyed(some, self.least, self.k, np.zeros(0, np.uint64)).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAMPLE_HITS)
         rows = keys.orderBy(F.desc("n"), "key").limit(SAMPLE_KEYS).select("key").collect()
         return np.array([r.key for r in rows], np.int64).view(np.uint64)
 
-    def _whole_spans(self, texts: DataFrame, k: int) -> DataFrame:
-        least = self.least
+    def _whole_spans(self, texts: DataFrame) -> DataFrame:
+        least, k = self.least, self.k
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for doc, h, t, keys in zip(*(b.column(c).to_pylist() for c in ("doc", "h", "t", "keys"))):
+                for doc, t, keys in zip(*(b.column(c).to_pylist() for c in ("doc", "t", "keys"))):
                     i, pos, g, prefix, bounds = winnow([t], least, k)
                     ok = np.isin(g, np.array(keys, np.int64).view(np.uint64))
                     x = np.unique(around(prefix, bounds, i[ok], pos[ok], least, k)[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array([h] * len(x), pa.int64()), pa.array([doc] * len(x), pa.int64())], names=["key", "h", "doc"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(np.full(len(x), doc, np.int64))], names=["key", "doc"])
+
+        return texts.select("doc", "t", "keys").mapInArrow(run, "key bigint, doc bigint")
 
-        return texts.withColumn("h", F.xxhash64("t")).mapInArrow(run, "key bigint, h bigint, doc bigint")
+    def representatives(self, pairs: DataFrame) -> DataFrame:
+        """The verified ones of some pairs of different texts: a, b, longest, and the shared spans in a and in b.
 
-    def representatives(self) -> DataFrame:
-        """The verified pairs between different texts: a, b, longest, and the shared spans in a and in b."""
+        The text of a goes once to each group of PARTNERS of its documents, and they are streamed through its automata."""
         least = self.least
-        pairs = self.candidates.withColumn("id", F.xxhash64("a", "b"))
-        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc"))
+        groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("groups"))
+        work = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"))
+        ends = work.select("a", "part", F.lit(None).cast("bigint").alias("b"), F.col("a").alias("doc")).distinct().unionByName(work.select("a", "part", "b", F.col("b").alias("doc")))
         texts = only(self.docs, "doc", ends.select("doc")).dropDuplicates(["doc"])
-        rows = ends.join(texts, "doc")
-        side = lambda s: F.max(F.when(F.col("doc") == F.col(s), F.col("t")))
-        both = rows.groupBy("a", "b").agg(side("a").alias("ta"), side("b").alias("tb")).sortWithinPartitions("a", "b")
+        rows = ends.join(texts, "doc").select("a", "part", "b", "t").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
         span = "array<struct<s: int, e: int>>"
         kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, shards = None, None
+            reference = None
             for x in batches:
                 out = []
-                for a, b, ta, tb in zip(*(x.column(c).to_pylist() for c in ("a", "b", "ta", "tb"))):
-                    if a != last:
-                        last, shards = a, Shards(ta, least)
-                    mine, theirs, longest = shards.shared(tb)
+                for a, b, t in zip(*(x.column(c).to_pylist() for c in ("a", "b", "t"))):
+                    if b is None:
+                        reference = Shards(t, least)
+                        continue
+                    mine, theirs, longest = reference.shared(t)
                     if longest:
                         out.append((a, b, longest, [{"s": s, "e": e} for s, e in mine], [{"s": s, "e": e} for s, e in theirs]))
                 cols = list(zip(*out)) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), kind, kind))], names=["a", "b", "longest", "sa", "sb"])
 
-        return both.mapInArrow(run, f"a bigint, b bigint, longest int, sa {span}, sb {span}")
+        return rows.mapInArrow(run, f"a bigint, b bigint, longest int, sa {span}, sb {span}")
 
     def _copies(self) -> DataFrame:
         """(doc, rep, chars) of the documents whose text another document has too."""
@@ -303,9 +375,11 @@ class SharedSpans:
         return x.join(many, "m").select("doc", "rep", "chars")
 
     def pairs(self) -> DataFrame:
-        """All pairs of documents that share a span: doc_a < doc_b, each once, whole copies included."""
+        """All pairs of documents that share a span: doc_a < doc_b, each once, whole copies included.
+
+        Pairs of different texts come from the automata; copies of one text are pairs by their class, without being compared again."""
         members = self.members.select("rep", "doc")
-        reps = self.representatives().select("a", "b")
+        reps = self.representatives(self.candidates()).select("a", "b")
         x = reps.join(members.select(F.col("rep").alias("a"), F.col("doc").alias("da")), "a", "left").join(members.select(F.col("rep").alias("b"), F.col("doc").alias("db")), "b", "left")
         x = x.select(F.coalesce("da", "a").alias("x"), F.coalesce("db", "b").alias("y"))
         same = members.select("rep", F.col("doc").alias("x")).join(members.select("rep", F.col("doc").alias("y")), "rep").where("x < y").select("x", "y")
@@ -313,17 +387,17 @@ class SharedSpans:
 
     def coverage(self) -> DataFrame:
         """Per document that shares anything: its class (the smallest document of the same text), characters, how many of them other
-        documents share, and the number of other texts it shares spans with. A copy of another document is shared as a whole."""
+        documents share, and in how many separate stretches. A copy of another document is shared as a whole.
+
+        A phrase that many texts have is compared with the first of them alone, so the work follows the texts and not their pairs."""
         members = self.members
-        pairs = durable(self.representatives())
-        spans = pairs.select(F.col("a").alias("rep"), F.explode("sa").alias("x")).unionByName(pairs.select(F.col("b").alias("rep"), F.explode("sb").alias("x"))).select("rep", "x.s", "x.e")
+        pairs = durable(self.representatives(self.candidates(one_each=True)))
+        spans = pairs.select(F.col("a").alias("rep"), F.explode("sa").alias("x")).unionByName(pairs.select(F.col("b").alias("rep"), F.explode("sb").alias("x"))).select("rep", "x.s", "x.e").distinct()
         w = Window.partitionBy("rep").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-        new = spans.withColumn("to", F.coalesce(F.max("e").over(w), F.lit(0))).select("rep", F.greatest(F.lit(0), F.col("e") - F.greatest("s", "to")).alias("n"))
-        covered = new.groupBy("rep").agg(F.sum("n").alias("covered"))
-        links = pairs.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("texts"))
-        texts = covered.join(links, "rep")
-        plain = members.select("doc", "rep", "chars").join(texts, "rep", "left").select("doc", "rep", "chars", F.col("chars").cast("bigint").alias("shared"), F.coalesce("texts", F.lit(0)).alias("texts"))
-        single = texts.join(members.select("rep").distinct(), "rep", "left_anti")
+        new = spans.withColumn("to", F.coalesce(F.max("e").over(w), F.lit(-1))).select("rep", F.greatest(F.lit(0), F.col("e") - F.greatest("s", "to")).alias("n"), (F.col("s") > F.col("to")).cast("int").alias("begins"))
+        covered = new.groupBy("rep").agg(F.sum("n").alias("covered"), F.sum("begins").alias("stretches"))
+        plain = members.select("doc", "rep", "chars", F.col("chars").cast("bigint").alias("shared"), F.lit(1).cast("bigint").alias("stretches"))
+        single = covered.join(members.select("rep").distinct(), "rep", "left_anti")
         single = only(self.docs, "doc", single.select("rep")).dropDuplicates(["doc"]).select("doc", F.length("t").alias("chars")).join(single, F.col("doc") == F.col("rep"))
-        single = single.select("doc", "rep", "chars", F.col("covered").cast("bigint").alias("shared"), "texts")
-        return plain.unionByName(single).select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), F.col("chars").alias("n_chars"), F.col("shared").alias("n_shared"), F.col("texts").alias("n_texts"))
+        single = single.select("doc", "rep", "chars", F.col("covered").cast("bigint").alias("shared"), "stretches")
+        return plain.unionByName(single).select(F.col("doc").alias("doc_id"), F.col("rep").alias("class_id"), F.col("chars").alias("n_chars"), F.col("shared").alias("n_shared"), F.col("stretches").alias("n_stretches"))

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -118,3 +119,37 @@ def test_only(spark):
     got = {r.doc for r in only(docs, "doc", docs.where("doc < 10").select("doc")).collect()}
     assert set(range(10)) <= got and len(got) < 30
     assert only(docs, "doc", docs.where("false").select("doc")).count() == 0
+
+
+def test_repeated_inside():
+    """What stands several times in one text is covered at each place, also where it stands in part."""
+    rnd = random.Random(4)
+    a, b = ("".join(rnd.choice("abcdefgh") for _ in range(60)) for _ in range(2))
+    mine, theirs, longest = Shards(a + "##" + a[:30] + "##" + b, 24).shared("$$" + a + "$$")
+    assert (mine, theirs, longest) == ([(0, 60), (62, 92)], [(2, 62)], 60)
+
+
+def test_long_texts():
+    """Near copies of a million characters and a text of equal characters take time in proportion to their length."""
+    rnd = random.Random(6)
+    a = "".join(rnd.choice("abcdefghij klmnop") for _ in range(1_000_000))
+    b = "".join("#" if i % 20011 == 0 else c for i, c in enumerate(a))
+    began = time.time()
+    mine, theirs, longest = Shards(a, 240).shared(b)
+    assert longest == 20010 and len(theirs) == len(mine) == 50 and time.time() - began < 20
+    began = time.time()
+    assert Shards("x" * 50_000, 240).shared("x" * 50_000) == ([(0, 50_000)], [(0, 50_000)], 50_000) and time.time() - began < 2
+
+
+def test_standing_phrase(spark, monkeypatch):
+    """Many documents with one phrase: as many pairs as documents, and the reference is sent in several copies."""
+    monkeypatch.setattr(S, "WIDE", 8)
+    monkeypatch.setattr(S, "PARTNERS", 50)
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    phrase = word(40)
+    texts = [(i, word(20) + phrase + word(20)) for i in range(400)]
+    x = run(spark, texts, 24)
+    assert x.candidates(one_each=True).count() < 400 * 8  # not 400 * 399 / 2
+    assert {(r.n_shared, r.n_stretches) for r in x.coverage().collect() if r.n_shared == 40} == {(40, 1)} and x.coverage().count() == 400
+    assert x.pairs().count() == 400 * 399 // 2
