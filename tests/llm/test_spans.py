@@ -151,5 +151,6 @@ def test_standing_phrase(spark, monkeypatch):
     texts = [(i, word(20) + phrase + word(20)) for i in range(400)]
     x = run(spark, texts, 24)
     assert x.candidates(one_each=True).count() < 400 * 8  # not 400 * 399 / 2
-    assert {(r.n_shared, r.n_stretches) for r in x.coverage().collect() if r.n_shared == 40} == {(40, 1)} and x.coverage().count() == 400
+    rows = x.coverage().collect()
+    assert len(rows) == 400 and all(40 <= r.n_shared < 60 and r.n_stretches == 1 for r in rows)
     assert x.pairs().count() == 400 * 399 // 2
