@@ -348,7 +348,8 @@ class SharedSpans:
         work = pairs.join(groups, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part"))
         ends = work.select("a", "part", F.lit(None).cast("bigint").alias("b"), F.col("a").alias("doc")).distinct().unionByName(work.select("a", "part", "b", F.col("b").alias("doc")))
         texts = only(self.docs, "doc", ends.select("doc")).dropDuplicates(["doc"])
-        rows = ends.join(texts, "doc").select("a", "part", "b", "t").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        tasks = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number: small texts may be much work, which sizes don't tell
+        rows = ends.join(texts, "doc").select("a", "part", "b", "t").repartition(tasks, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
         span = "array<struct<s: int, e: int>>"
         kind = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
