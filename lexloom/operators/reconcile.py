@@ -50,123 +50,196 @@ def points(n: int) -> np.ndarray:
     return np.array([(0x9E3779B97F4A7C15 * (i + 1) ** 3 + 0x1234567) % P for i in range(n)], np.uint64)
 
 
-def char_poly(hashes: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """The characteristic polynomial of a set at each point, by halving products."""
-    if len(hashes) == 0:
-        return np.ones(len(z), np.uint64)
-    m = sub(z[:, None], hashes[None, :])
-    while m.shape[1] > 1:
-        odd = m[:, -1:] if m.shape[1] % 2 else None
-        m = mul(m[:, 0 : m.shape[1] - m.shape[1] % 2 : 2], m[:, 1::2])
-        if odd is not None:
-            m = np.concatenate([m, odd], axis=1)
-    return m[:, 0]
-
-
-def inverse(x: np.ndarray) -> np.ndarray:
-    return np.array([pow(int(v), -1, P) for v in x], np.uint64)
-
-
-def horner(coef: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A monic polynomial, its lower coefficients given from the constant up, at each x."""
-    y = np.ones(len(x), np.uint64)
-    for c in coef[::-1]:
-        y = add(mul(y, x), np.full(len(x), c, np.uint64))
-    return y
-
-
-def solve(rows: np.ndarray, rhs: np.ndarray) -> np.ndarray:
-    """Some solution of a square system in GF(p); free unknowns become 0, impossible equations are left to the caller's check."""
-    a = np.concatenate([rows, rhs[:, None]], axis=1)
-    n, where = len(a), []
-    top = 0
+def inverses(x: np.ndarray) -> np.ndarray:
+    """Inverses by Fermat's theorem: x to the power p - 2, all bits of which but the second are set."""
+    out, square = np.ones_like(x), x
+    for bit in range(61):
+        if (P - 2) >> bit & 1:
+            out = mul(out, square)
+        square = mul(square, square)
+    return out
+
+
+def solve(a: np.ndarray) -> np.ndarray:
+    """Some solution of each of many square systems in GF(p), given as (system, row, column and right side): free unknowns become 0,
+    impossible equations are left to the caller's check."""
+    many, n = a.shape[:2]
+    top, row_of = np.zeros(many, np.int64), np.full((many, n), -1)
+    rows = np.arange(n)
     for col in range(n):
-        hit = np.flatnonzero(a[top:, col])
-        if len(hit) == 0:
+        usable = (a[:, :, col] != 0) & (rows >= top[:, None])
+        at = np.flatnonzero(usable.any(axis=1))
+        if len(at) == 0:
             continue
-        k = top + hit[0]
-        if k != top:
-            a[[top, k]] = a[[k, top]]
-        a[top] = mul(a[top], np.full(n + 1, pow(int(a[top, col]), -1, P), np.uint64))
-        rest = np.flatnonzero(a[:, col])
-        rest = rest[rest != top]
-        if len(rest):
-            a[rest] = sub(a[rest], mul(a[rest, col][:, None], a[top][None, :]))
-        where.append(col)
-        top += 1
-        if top == n:
-            break
-    x = np.zeros(n, np.uint64)
-    for i, col in enumerate(where):
-        x[col] = a[i, n]
-    return x
+        k, t = usable[at].argmax(axis=1), top[at]
+        pivot = a[at, k]
+        a[at, k] = a[at, t]
+        pivot = mul(pivot, inverses(pivot[:, col])[:, None])
+        part = sub(a[at], mul(a[at, :, col][:, :, None], pivot[:, None, :]))
+        part[np.arange(len(at)), t] = pivot
+        a[at] = part
+        row_of[at, col] = t
+        top[at] += 1
+    out = np.zeros((many, n), np.uint64)
+    s, c = np.nonzero(row_of >= 0)
+    out[s, c] = a[s, row_of[s, c], n]
+    return out
+
+
+def product(m: np.ndarray) -> np.ndarray:
+    """Products along the last axis, by halving."""
+    while m.shape[-1] > 1:
+        odd = m[..., -1:] if m.shape[-1] % 2 else None
+        m = mul(m[..., 0 : m.shape[-1] - m.shape[-1] % 2 : 2], m[..., 1::2])
+        if odd is not None:
+            m = np.concatenate([m, odd], axis=-1)
+    return m[..., 0]
+
+
+def char_polys(h: np.ndarray, there: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The characteristic polynomials of many sets (padded rows, of which `there` counts) at each point."""
+    if h.shape[1] == 0:
+        return np.ones((len(h), len(z)), np.uint64)
+    return product(np.where(there[:, None, :], sub(z[None, :, None], h[:, None, :]), np.uint64(1)))
+
+
+def roots(coef: np.ndarray, size: np.ndarray, x: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Which of x are roots of each monic polynomial, its lower coefficients given from the constant up, `size` of them."""
+    y = np.ones_like(x)
+    for k in range(coef.shape[1] - 1, -1, -1):
+        y = np.where((k < size)[:, None], add(mul(y, x), coef[:, k : k + 1]), y)
+    return (y == 0) & there
+
+
+def padded(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.array([len(s) for s in sets])
+    out = np.zeros((len(sets), int(size.max(initial=0))), np.uint64)
+    there = np.arange(out.shape[1]) < size[:, None]
+    out[there] = np.concatenate(sets) if len(sets) else []
+    return out, there
+
+
+def differing(left: list[np.ndarray], right: list[np.ndarray], bound: list[int]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    """For each pair of sets which hashes of one are not in the other, as masks, recovered from the quotient of their polynomials at the pair's degree bound
+    (one bound for all); None where the bound doesn't explain the quotient at the further points."""
+    m = bound[0]
+    a, in_a = padded(left)
+    b, in_b = padded(right)
+    z = points(m + CHECKS)
+    f = mul(char_polys(a, in_a, z), inverses(char_polys(b, in_b, z)))
+    delta = in_a.sum(axis=1) - in_b.sum(axis=1)
+    da, db = (m + delta) // 2, (m - delta) // 2
+    coef = np.zeros((len(a), m), np.uint64)
+    if m:
+        zs, fs, col = z[:m], f[:, :m], np.arange(m)
+        powers = [np.ones(m, np.uint64)]
+        for _ in range(m):
+            powers.append(mul(powers[-1], zs))
+        powers = np.stack(powers, axis=1)  # (point, exponent)
+        of_b = col[None, :] >= da[:, None]
+        grid = powers[:, np.where(of_b, col[None, :] - da[:, None], col[None, :])].transpose(1, 0, 2)
+        grid = np.where(of_b[:, None, :], sub(np.zeros_like(grid), mul(fs[:, :, None], grid)), grid)
+        rhs = sub(mul(fs, powers[:, db].T), powers[:, da].T)
+        coef = solve(np.concatenate([grid, rhs[:, :, None]], axis=2))
+    shift = np.minimum(np.arange(m)[None, :] + da[:, None], max(m - 1, 0))
+    hit_a, hit_b = roots(coef, da, a, in_a), roots(np.take_along_axis(coef, shift, axis=1) if m else coef, db, b, in_b)
+    ra, rb = char_polys(a, hit_a, z[-CHECKS:]), char_polys(b, hit_b, z[-CHECKS:])
+    ok = (hit_a.sum(axis=1) - hit_b.sum(axis=1) == delta) & (ra == mul(f[:, -CHECKS:], rb)).all(axis=1)
+    return [(hit_a[i][in_a[i]], hit_b[i][in_b[i]]) if ok[i] else None for i in range(len(a))]
+
+
+#: Numbers in one array of a batch of pairs.
+BATCH = 2_000_000
+
+
+def recover_all(left: list[np.ndarray], right: list[np.ndarray], start: int = 4) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Which hashes of each left set are not in the right one, and the other way round, as masks, and the degree bound at which they were found.
+
+    Each side evaluates its own polynomial and looks for its own roots; between the sides only the values and the coefficients of the quotient pass.
+    Each set holds distinct hashes. Pairs of one bound are worked on together; the bound of those that fail is doubled."""
+    out: list = [None] * len(left)
+
+    def fit(bound: int, i: int) -> int:
+        """A bound that the sizes allow: the two degrees have to differ by the difference of the sizes."""
+        na, nb = len(left[i]), len(right[i])
+        bound = min(max(bound, abs(na - nb)), na + nb)
+        return bound + (bound - na + nb) % 2
+
+    todo = {i: fit(start, i) for i in range(len(left))}
+    while todo:
+        m = min(todo.values())
+        of_m = sorted((i for i in todo if todo[i] == m), key=lambda i: len(left[i]) + len(right[i]))
+        while of_m:
+            widest = max(len(left[of_m[-1]]), len(right[of_m[-1]]), m, 1)
+            group = of_m[-max(1, BATCH // ((m + CHECKS) * widest)) :]
+            del of_m[-len(group) :]
+            for i, found in zip(group, differing([left[i] for i in group], [right[i] for i in group], [m])):
+                if found is not None:
+                    out[i] = (*found, m)
+                    del todo[i]
+                elif m >= len(left[i]) + len(right[i]):  # a root by chance at full degree: compare the hashes themselves
+                    out[i] = (~np.isin(left[i], right[i]), ~np.isin(right[i], left[i]), m)
+                    del todo[i]
+                else:
+                    todo[i] = fit(2 * m, i)
+    return out
 
 
 def recover(a: np.ndarray, b: np.ndarray, start: int = 4) -> tuple[np.ndarray, np.ndarray, int]:
-    """Which hashes of a are not in b, and of b not in a, as masks, and the degree bound at which they were found.
-
-    Each side evaluates its own polynomial and looks for its own roots; between the sides only the values and the
-    coefficients of the quotient pass. a and b each hold distinct hashes."""
-    delta, bound = len(a) - len(b), start
-    while True:
-        bound = min(max(bound, abs(delta)), len(a) + len(b))
-        bound += (bound - delta) % 2  # the two degrees have to differ by delta
-        z = points(bound + CHECKS)
-        f = mul(char_poly(a, z), inverse(char_poly(b, z)))
-        da, db = (bound + delta) // 2, (bound - delta) // 2
-        m = bound
-        if m:
-            zs, fs = z[:m], f[:m]
-            powers = [np.ones(m, np.uint64)]
-            for _ in range(max(da, db)):
-                powers.append(mul(powers[-1], zs))
-            cols = [*powers[:da], *(sub(np.zeros(m, np.uint64), mul(fs, p)) for p in powers[:db])]
-            x = solve(np.stack(cols, axis=1), sub(mul(fs, powers[db]), powers[da]))
-        else:
-            x = np.zeros(0, np.uint64)
-        in_a, in_b = horner(x[:da], a) == 0, horner(x[da:], b) == 0
-        if in_a.sum() - in_b.sum() == delta:
-            ra, rb = char_poly(a[in_a], z[-CHECKS:]), char_poly(b[in_b], z[-CHECKS:])
-            if np.array_equal(ra, mul(f[-CHECKS:], rb)):
-                return in_a, in_b, bound
-        if bound >= len(a) + len(b):  # a root by chance at full degree: compare the hashes themselves
-            return ~np.isin(a, b), ~np.isin(b, a), bound
-        bound *= 2
-
-
-def reconcile(left: DataFrame, right: DataFrame, key: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), bucket_rows: int = 256, buckets: int | None = None) -> DataFrame:
+    """recover_all for one pair."""
+    return recover_all([a], [b], start)[0]
+
+
+def differing_hashes(hashes: DataFrame, buckets: int) -> DataFrame:
+    """(side, hash) of two copies (side 0 and 1) reduced to those that the other copy lacks. Only a bucket number, the side and the hash are shuffled."""
+    tasks = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = hashes.select(F.pmod("hash", F.lit(buckets)).alias("bucket"), "side", "hash").repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    kinds = {"side": pa.int32(), "hash": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(side: np.ndarray, h: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+            left, right = [], []
+            for s, x in zip(np.split(side, cuts), np.split(h, cuts)):
+                left.append(np.unique(x[s == 0]))
+                right.append(np.unique(x[s == 1]))
+            found = recover_all(left, right)
+            a = [x[m] for x, (m, _, _) in zip(left, found)]
+            b = [x[m] for x, (_, m, _) in zip(right, found)]
+            n = sum(map(len, a))
+            both = np.concatenate([*a, *b]) if a else np.zeros(0, np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat([0, 1], [n, len(both) - n]), pa.int32()), pa.array(both.astype(np.int64))], names=list(kinds))
+
+        rest = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64)]
+        for x in batches:
+            new = [x.column(c).to_numpy() for c in ("bucket", "side", "hash")]
+            bucket, side, h = (np.concatenate([r, y.astype(r.dtype)]) for r, y in zip(rest, new))
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            if len(cuts):  # the last bucket may go on in the next batch
+                yield done(side[: cuts[-1]], h[: cuts[-1]], cuts[:-1])
+                bucket, side, h = bucket[cuts[-1] :], side[cuts[-1] :], h[cuts[-1] :]
+            rest = [bucket, side, h]
+        if len(rest[0]):
+            yield done(rest[1], rest[2], np.zeros(0, np.int64))
+
+    return x.mapInArrow(run, "side int, hash bigint")
+
+
+def reconcile(rows: DataFrame, side: str, key: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), bucket_rows: int = 64, buckets: int | None = None) -> DataFrame:
     """Rows of either copy that the other lacks, and fields that differ: the key columns and `finding`.
 
-    finding is `only_<name>` for a key that the other copy lacks, else the name of each field that differs, one row
-    each; nulls count as a value of their own. Both copies hold each key at most once (take the last row first) and
-    keys are strings without nulls. `buckets` is the number of hash buckets; by default so many that a bucket holds about `bucket_rows`
-    rows a side. Copies that agree, and empty copies, give no rows."""
+    rows: both copies, told apart by the column `side`, whose values are the two names; rows of other sides are ignored. finding is `only_<name>` for
+    a key that the other copy lacks, else the name of each field that differs, one row each; nulls count as a value of their own. Each copy holds each key at most once
+    (take the last row first) and keys are strings without nulls. `buckets` is the number of hash buckets; by default so many that a bucket holds about `bucket_rows`
+    rows a side. Copies that agree, and empty copies, give no rows. rows is read twice: for the hashes, and to fetch the rows of those that differ."""
     if buckets is None:
-        buckets = max(1, math.ceil(left.count() / bucket_rows))
-
-    def hashed(df: DataFrame, side: int) -> DataFrame:
-        cols = [F.col(f"`{c}`") for c in key + fields]
-        h = F.pmod(F.xxhash64(F.struct(*cols), *[c.isNull() for c in cols]), F.lit(P))
-        return df.select(F.pmod(F.hash(*cols[: len(key)]), F.lit(buckets)).alias("_bucket"), F.lit(side).alias("_side"), h.alias("_hash"), *cols)
-
-    both = hashed(left, 0).unionByName(hashed(right, 1))
-    schema = both.drop("_bucket", "_hash").schema
-    arrow_schema = pa.schema([pa.field("_side", pa.int32()), *(pa.field(c, pa.string()) for c in key + fields)])
-
-    def differing(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(groups))
-        side, h = t.column("_side").to_numpy(), t.column("_hash").to_numpy().astype(np.uint64)
-        ia, ib = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        in_a, in_b, _ = recover(h[ia], h[ib])
-        out = t.take(pa.array(np.concatenate([ia[in_a], ib[in_b]]))).select(arrow_schema.names)
-        yield from out.cast(arrow_schema).to_batches()
-
-    def each(batch_table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(differing(iter(batch_table.to_batches())), schema=arrow_schema)
-
-    rows = both.groupBy("_bucket").applyInArrow(each, schema)
-    side = lambda s: F.max(F.when(F.col("_side") == s, F.struct(*[F.col(f"`{c}`") for c in fields], F.lit(1).alias("_there"))))
-    pairs = rows.groupBy(*[f"`{k}`" for k in key]).agg(side(0).alias("_l"), side(1).alias("_r"))
+        buckets = max(1, math.ceil(rows.count() / 2 / bucket_rows))
+    cols = [F.col(f"`{c}`") for c in key + fields]
+    h = F.pmod(F.xxhash64(F.struct(*cols), *[c.isNull() for c in cols]), F.lit(P))
+    x = rows.where(F.col(side).isin(*names)).select((F.col(side) == names[1]).cast("int").alias("_side"), h.alias("_hash"), *cols)
+    lone = differing_hashes(x.select(F.col("_side").alias("side"), F.col("_hash").alias("hash")), buckets).select(F.col("side").alias("_side"), F.col("hash").alias("_hash"))
+    found = x.join(lone, ["_side", "_hash"], "left_semi")
+    of = lambda s: F.max(F.when(F.col("_side") == s, F.struct(*[F.col(f"`{c}`") for c in fields], F.lit(1).alias("_there"))))
+    pairs = found.groupBy(*[f"`{k}`" for k in key]).agg(of(0).alias("_l"), of(1).alias("_r"))
     differ = [F.when(F.col("_l").isNotNull() & F.col("_r").isNotNull() & ~F.col(f"_l.`{f}`").eqNullSafe(F.col(f"_r.`{f}`")), F.lit(f)) for f in fields]
     findings = F.array_compact(F.array(F.when(F.col("_r").isNull(), F.lit(f"only_{names[0]}")), F.when(F.col("_l").isNull(), F.lit(f"only_{names[1]}")), *differ))
     return pairs.select(*[f"`{k}`" for k in key], F.explode(findings).alias("finding"))

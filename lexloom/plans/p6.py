@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from lexloom.functions.ids import proper_section, proper_target
 from lexloom.operators.reconcile import latest, reconcile
 from lexloom.plans.p2 import _SQL_LAYER, _SQL_NUM
+from lexloom.session import durable
 from lexloom.sources.tables import table
 
 
+NAMES = ("rule_text", "lrb2025")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "edges").where(F.col("attestation").isin("rule_text", "lrb2025"))
+    e = table(spark, d, "edges").where(F.col("attestation").isin(*NAMES))
     e = e.select("attestation", proper_section(F.col("src")).alias("src"), proper_target(F.col("dst")).alias("dst"), "relation", "dst_kind", "id")
-    e = e.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    both = e.groupBy("src").agg(F.bool_or(F.col("attestation") == "rule_text").alias("a"), F.bool_or(F.col("attestation") == "lrb2025").alias("b"))
-    rows = latest(e, ["attestation", "src", "dst"], "id", ["relation", "dst_kind"]).join(both.where("a and b").select("src"), "src", "left_semi")
-    sides = [rows.where(F.col("attestation") == x).drop("attestation") for x in ("rule_text", "lrb2025")]
+    # The last row of each pair is written once; all that follows reads it from there.
+    rows = durable(latest(e.where(F.col("src").isNotNull() & F.col("dst").isNotNull()), ["attestation", "src", "dst"], "id", ["relation", "dst_kind"]))
+    both = rows.groupBy("src").agg(F.min("attestation").alias("a"), F.max("attestation").alias("b")).where("a <> b").select("src")
+    rows = durable(rows.join(both, "src", "left_semi"))
     # The number of buckets follows the rows read, an upper bound of the pairs, known from the files' footers.
-    buckets = max(1, math.ceil(table(spark, d, "edges").count() / 512))
-    return reconcile(*sides, ["src", "dst"], ["relation", "dst_kind"], ("rule_text", "lrb2025"), buckets=buckets)
+    return reconcile(rows, "attestation", ["src", "dst"], ["relation", "dst_kind"], NAMES, buckets=max(1, math.ceil(table(spark, d, "edges").count() / 128)))
 
 
 _SQUEEZED = "regexp_replace(regexp_replace(translate({c}, '‐‑‒–—―−﹘﹣－', '----------'), '[\\p{{Cf}}\\p{{Z}}\\s§]+', '', 'g'), '^(?i)(sections?|secs?\\.)', '')"
