@@ -11,21 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: At most so many keys are salted; every other key then holds under 1/HOT_KEYS of the references or HOT_ROWS rows.
-HOT_KEYS = 512
+#: A key of more rows than HOT_ROWS, or than one HOT_KEYS-th of all rows where that is more, is salted. No more than HOT_KEYS keys can be,
+#: which bounds what is broadcast at any size of the input, and no key is left out.
+HOT_KEYS = 100_000
 HOT_ROWS = 20_000
 
 
 def hot_keys(refs: DataFrame, key: str, keys: int = HOT_KEYS, rows: int = HOT_ROWS) -> DataFrame:
-    """The keys to salt with their number of salts: a table of at most `keys` rows, whatever the input."""
-    return (
-        refs.groupBy(F.col(key).alias("hot_key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows)
-        .orderBy(F.desc("n"), "hot_key")
-        .limit(keys)
-        .select("hot_key", F.ceil(F.col("n") / rows).cast("int").alias("salts"))
-    )
+    """Every key to salt with its number of salts: a table of at most `keys` rows, since each of them has over one `keys`-th of all references."""
+    counts = refs.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
+    least = F.greatest(F.lit(rows), (counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar() / keys).cast("bigint"))
+    return counts.where(F.col("n") > least).select("hot_key", F.ceil(F.col("n") / least).cast("int").alias("salts"))
 
 
 def reference_status(refs: DataFrame, parents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

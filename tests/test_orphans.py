@@ -1,7 +1,9 @@
 import datetime
 import random
 
-from lexloom.operators.orphans import orphans_by_period, reference_status
+from pyspark.sql import functions as F
+
+from lexloom.operators.orphans import hot_keys, orphans_by_period, reference_status
 
 D = datetime.datetime
 
@@ -47,3 +49,14 @@ def test_against_brute_force(spark):
 def test_report(spark):
     df = spark.createDataFrame([("src", D(2025, 1, 5), "ok"), ("src", D(2025, 1, 6), "late"), ("src", D(2025, 1, 7), "late"), ("target", None, "missing")], "side string, ref_ts timestamp_ntz, status string")
     assert {tuple(r) for r in orphans_by_period(df, "edge").collect()} == {("edge", "src", "2025-01", "late", 2), ("edge", "target", None, "missing", 1)}
+
+
+def test_many_hot_keys(spark):
+    """No key is left whole, however many are hot, and the bound of the table holds."""
+    refs = spark.range(2000 * 12).select((F.col("id") % 2000).cast("string").alias("ref_key"), F.lit(D(2025, 1, 1)).cast("timestamp_ntz").alias("ref_ts"))
+    hot = hot_keys(refs, "ref_key", rows=5)
+    assert hot.count() == 2000 and {r.salts for r in hot.collect()} == {3}
+    assert hot_keys(refs, "ref_key", keys=500, rows=5).count() == 0  # none holds a 500th of all rows
+    parents = spark.createDataFrame([("1", D(2024, 1, 1), None), ("2", D(2024, 1, 1), D(2024, 6, 1)), ("3", D(2026, 1, 1), None)], "key string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+    got = {(r.status, r["count"]) for r in reference_status(refs, parents, hot_rows=5).groupBy("status").count().collect()}
+    assert got == {("ok", 12), ("deleted", 12), ("late", 12), ("missing", 1997 * 12)}
