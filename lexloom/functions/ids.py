@@ -31,7 +31,17 @@ def proper_section(c: Column, fallback: Column | None = None) -> Column:
     """`layer:num` of a section in any of its spellings, e.g. ` § 9–1‑2(a)` becomes `har:9-1-2`.
 
     A number without a layer is of `har` if it has two hyphens and of `hrs` if it has one; otherwise it takes the
-    layer `fallback` (by default `hrs`). Null stays null; an empty text becomes the layer with an empty number."""
+    layer `fallback` (by default `hrs`). Null stays null; an empty text becomes the layer with an empty number.
+    Most numbers are in proper form but for the layer, which one look tells; only the others go through all steps."""
+    proper, two, one = (c.rlike(rf"^{p}$") for p in (rf"(?:hrs|har):{_PLAIN}(?:-{_TAIL})*", rf"{_PLAIN}-{_TAIL}", _PLAIN))
+    return F.when(proper, c).when(two, F.concat(F.lit("har:"), c)).when(one, F.concat(F.lit("hrs:"), c)).otherwise(_any_section(c, fallback))
+
+
+_TAIL = r"[0-9A-Z.]+"
+_PLAIN = rf"\d[0-9A-Z.:]*-{_TAIL}"
+
+
+def _any_section(c: Column, fallback: Column | None) -> Column:
     s = squeeze(c)
     low = F.lower(s)
     given = F.regexp_extract(low, r"^(hrs|har):?", 1)
