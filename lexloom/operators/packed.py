@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words and signs around values that aren't part of them, and delimiters between values.
@@ -58,13 +58,17 @@ def _arcs(text: str, known) -> list[list[tuple[int, str]]]:
     while m := _VALUES.search(text, at):
         arcs[m.start()].append((m.end(), "value"))
         at = m.end() if m.lastgroup != "quoted" else m.start() + 1  # what begins inside quotes competes with the quoted whole
-    for end, n in known.iter(text) if known else ():
-        s, e = end + 1 - n, end + 1
-        if (s == 0 or not text[s - 1].isalnum()) and (e == len(text) or not text[e].isalnum()):
-            arcs[s].append((e, "value"))
+    starts, ends = set(), set()  # of what may stand beside a whole value
     for pattern, kind in ((_FURNITURE, "furniture"), (_DELIMITER, "delimiter")):
         for m in pattern.finditer(text):
             arcs[m.start()].append((m.end(), kind))
+            starts.add(m.start())
+            ends.add(m.end())
+    for end, n in known.iter(text) if known else ():
+        s, e = end + 1 - n, end + 1
+        before, behind = len(text[:s].rstrip()), e + len(text[e:]) - len(text[e:].lstrip())
+        if (before == 0 or before in ends) and (behind == len(text) or behind in starts):
+            arcs[s].append((e, "value"))
     return arcs
 
 
@@ -120,9 +124,9 @@ def _segment_quoted(piece: str) -> str:
 def split_packed(df: DataFrame, keys: list[str], text: str, titles: DataFrame | None = None) -> DataFrame:
     """One row per value of each field that holds two or more: the key columns, pos (from 1) and value.
 
-    titles: optional, one column `title` of whole values known from elsewhere. It is never broadcast: the fields that
-    the open classes don't cover look up the texts between their delimiters in it by an equi-join, and only what is
-    found there travels with the field. Null, empty and blank fields and fields of one value give no rows. Repeated
+    titles: optional, one column `title` of whole values known from elsewhere, each with a letter or digit; its length and the delimiters in it don't matter.
+    It is never broadcast: to a field that the open classes don't cover come the titles whose rarest word it holds, and an automaton of these
+    finds which of them stand in it, and where. Null, empty and blank fields and fields of one value give no rows. Repeated
     rows give repeated rows. Only the key columns and the text are read, so other columns may have any names.
     """
     schema = df.select(*[F.col(f"`{k}`") for k in keys]).schema.add("pos", "integer").add("value", "string")
@@ -159,16 +163,22 @@ def _arrow(kind: str) -> pa.DataType:
 COVERED = rf"(?i){QUOTED}|{LAW}|{RANGE}|{FURNITURE}|{DELIMITER}|\s+"
 
 
+def _words(c: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+
+
 def _with_known(src: DataFrame, titles: DataFrame) -> DataFrame:
-    """Adds _known: the titles that stand between two delimiters of a field which the open classes don't cover."""
+    """Adds _known: titles that may stand in a field which the open classes don't cover.
+
+    Every title that stands there has its rarest word there, counted over those fields; so no title is missed, a common word brings
+    few titles with it, and a title with a word that no field holds goes nowhere."""
     t = titles.select(F.trim("title").alias("title")).where(F.col("title") != "").distinct()
     open_ = src.where(F.regexp_replace("_text", COVERED, "") != "").select("_text").distinct()
-    # A title may itself hold delimiters: every run of up to SPAN neighbouring pieces is looked up.
-    pieces = open_.withColumn("_p", F.split("_text", r"(?=[;,|/&\n\t])|(?<=[;,|/&\n\t])"))
-    runs = pieces.withColumn("_i", F.explode(F.sequence(F.lit(1), F.size("_p")))).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(SPAN))))
-    runs = runs.where(F.col("_i") + F.col("_n") - 1 <= F.size("_p"))
-    runs = runs.select("_text", F.trim(F.array_join(F.slice("_p", F.col("_i"), F.col("_n")), "")).alias("title")).distinct()
-    known = runs.join(t, "title").groupBy("_text").agg(F.collect_set("title").alias("_known"))
+    held = open_.select("_text", F.explode(_words(F.col("_text"))).alias("word"))
+    often = held.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    anchors = t.select("title", F.explode(_words(F.col("title"))).alias("word")).join(often, "word", "left").groupBy("title")
+    anchors = anchors.agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("a")).where("a.n > 0").select("title", F.col("a.word").alias("word"))
+    known = held.join(anchors, "word").groupBy("_text").agg(F.collect_set("title").alias("_known"))
     return src.join(known, "_text", "left").select(*[c for c in src.columns if c != "_text"], "_text", "_known")
 
 
@@ -176,7 +186,3 @@ def quoted_titles(texts: DataFrame, text: str) -> DataFrame:
     """Whole values known from quotes: the quoted texts of a column that hold a letter word, one column `title`."""
     t = texts.where(F.col(f"`{text}`").contains('"')).select(F.explode(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(QUOTED), F.lit(0))).alias("q"))
     return t.select(F.replace(F.expr("substring(q, 2, length(q) - 2)"), F.lit('""'), F.lit('"')).alias("title")).where(F.col("title").rlike("[A-Za-z]{3}")).distinct()
-
-
-#: Pieces and delimiters that one title may span.
-SPAN = 9

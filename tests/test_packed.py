@@ -37,3 +37,15 @@ def test_rows(spark):
     assert split_packed(df.where("id = 9"), ["id"], "text", titles).count() == 0
     q = spark.createDataFrame([('a "One, Two Act" b "12-3"',)], "t string")
     assert [r.title for r in quoted_titles(q, "t").collect()] == ["One, Two Act"]
+
+
+def test_long_titles(spark):
+    """Titles with any number of delimiters, behind labels and between words, come whole; common words don't hide them."""
+    road = "An Act on roads, bridges, ports, canals, ferries, docks"
+    texts = [(1, f"{road}; Water Code"), (2, "Auth: Boats, Harbors Act; 12-3"), (3, f"Water Code and {road} or Boats, Harbors Act"), (4, "An Act; An Act on roads"), (5, "Boats, Harbors Actor; 1-2")]
+    df = spark.createDataFrame(texts, "id bigint, text string")
+    titles = spark.createDataFrame([(road,), ("Water Code",), ("Boats, Harbors Act",), ("An Act",), ("An Act, of nowhere",)], "title string")
+    got = {}
+    for r in split_packed(df, ["id"], "text", titles).orderBy("id", "pos").collect():
+        got.setdefault(r.id, []).append(r.value)
+    assert got == {1: [road, "Water Code"], 2: ["Boats, Harbors Act", "12-3"], 3: ["Water Code", road, "Boats, Harbors Act"], 4: ["An Act", "An Act on roads"], 5: ["Boats", "Harbors Actor", "1-2"]}
