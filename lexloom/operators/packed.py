@@ -66,7 +66,11 @@ def _arcs(text: str, known) -> list[list[tuple[int, str]]]:
             ends.add(m.end())
     for end, n in known.iter(text) if known else ():
         s, e = end + 1 - n, end + 1
-        before, behind = len(text[:s].rstrip()), e + len(text[e:]) - len(text[e:].lstrip())
+        before, behind = s, e
+        while before and text[before - 1].isspace():
+            before -= 1
+        while behind < len(text) and text[behind].isspace():
+            behind += 1
         if (before == 0 or before in ends) and (behind == len(text) or behind in starts):
             arcs[s].append((e, "value"))
     return arcs
