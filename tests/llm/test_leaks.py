@@ -91,3 +91,38 @@ def test_repeated_rows(spark):
     assert [(r.doc_id, r.n_words, r.longest_run) for r in find_leaks(d, "doc_id", "text", i, "item_id", "text").orderBy("doc_id").collect()] == [(None, 20, 20), (1, 20, 20), (1, 20, 20)]
     with pytest.raises(ValueError):
         find_leaks(d, "doc_id", "text", i, "item_id", "text", min_words=12)
+
+
+def changed(rnd, w, n):
+    w = list(w)
+    for k in rnd.sample(range(len(w)), n):
+        w[k] = f"zq{rnd.randrange(10**6)}"
+    return w
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_near_recall(n):
+    """Of items with changed words every one is found that has a window with at most one of them; none without."""
+    rnd = random.Random(n)
+    vocab = [f"v{i}" for i in range(400)]
+    items = [[rnd.choice(vocab) for _ in range(22)] for _ in range(60)]
+    index = leaks.ItemIndex(list(range(60)), [" ".join(w) for w in items], 13, 1, near=True)
+    docs = [changed(rnd, rnd.choice(items), n) for _ in range(300)]
+    got = {(t, i, kind) for t, i, kind, *_ in index.leaks([" ".join(["a b c", *w]) for w in docs], 1, 0.5)}
+    want = set()
+    for t, w in enumerate(docs):
+        for i, v in enumerate(items):
+            most = max(sum(x == y for x, y in zip(w[a : a + 13], v[a : a + 13])) for a in range(10))
+            if most >= 12:
+                want.add((t, i, "exact" if most == 13 else "near"))
+    assert {x for x in got if x in want} == want and len(got) == len(want)
+
+
+def test_near_rows(spark):
+    w = [f"a{i}" for i in range(30)]
+    every = [x if i % 12 else f"z{i}" for i, x in enumerate(w)]
+    d = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(every)), (3, " ".join(w[::-1]))], "doc_id bigint, text string")
+    i = spark.createDataFrame([(7, " ".join(w))], "item_id bigint, text string")
+    rows = {r.doc_id: r for r in find_leaks(d, "doc_id", "text", i, "item_id", "text", near=True).collect()}
+    assert {k: r.kind for k, r in rows.items()} == {1: "exact", 2: "near"} and 0.8 <= rows[2].similarity < 1 and rows[2].n_words == 29
+    assert [r.doc_id for r in find_leaks(d, "doc_id", "text", i, "item_id", "text").collect()] == [1]
