@@ -104,13 +104,16 @@ def chapter_id(title: Column, number: Column) -> Column:
 def namespaced(kind: Column, target: Column) -> Column:
     """The target of a citation in its name space, by kind: `hrs:…`, `har:…`, `hrs:ch:…`, others as they are."""
     number = F.regexp_replace(target, r"^(ch:|har:|hrs:)", "")
-    article = r"(?i)^art\.?\s*([IVXL]+),?\s*(?:§|sec\.)\s*(\d+)$"
+    article, whole = r"(?i)^art\.?\s*([IVXL]+),?\s*(?:§|sec\.)\s*(\d+(?:\.\d+)?)$", r"(?i)^art\.?\s*([IVXL]+)$"
     return (
         F.when(kind.isin("hrs_section", "hrs_section_colon"), F.concat(F.lit("hrs:"), bare(number)))
         .when(kind == "har_section", F.concat(F.lit("har:"), bare(number)))
         .when(kind == "hrs_chapter", F.concat(F.lit("hrs:ch:"), number))
         .when(kind == "har_chapter", F.concat(F.lit("har:ch:"), number))
         .when((kind == "hi_const") & target.rlike(article), F.concat_ws(":", F.lit("hiconst"), F.regexp_extract(target, article, 1), F.regexp_extract(target, article, 2)))
+        .when((kind == "hi_const") & (F.lower(F.trim(target)) == "preamble"), F.lit("hiconst:preamble"))
+        .when((kind == "hi_const") & target.rlike(whole), F.concat(F.lit("hiconst:art:"), F.regexp_extract(target, whole, 1)))
+        .when(kind == "hrs_part", F.concat(F.lit("hrs:"), F.regexp_replace(target, "^hrs:", "")))
         .otherwise(target)
     )
 
@@ -151,6 +154,7 @@ def classify_key(c: Column) -> Column:
     num = restore_dash(bare(v))
     kinds = [
         (s.isNull() | (s == ""), "skip", F.lit(None).cast("string")),
+        (v.rlike(r"(?i)^(?:hawaii\s+constitution|hawaiian\s+homes\s+commission\s+act|united\s+states\s+constitution)$"), "group", v),
         (v.rlike(part), "hrs_chapter_part", F.concat_ws(":", F.regexp_extract(v, part, 1), F.upper(F.regexp_extract(v, part, 2)))),
         (v.rlike(chapter), "hrs_chapter", F.regexp_extract(v, chapter, 1)),
         (v.rlike(usc), "usc", F.concat_ws(":", F.lit("usc"), F.regexp_extract(v, usc, 1), F.regexp_extract(v, usc, 2))),
@@ -171,6 +175,11 @@ def display(kind: Column, target: Column) -> Column:
         F.when(kind == "hrs_section", F.concat(F.lit("HRS §"), F.regexp_replace(target, "^hrs:", "")))
         .when(kind == "har_section", F.concat(F.lit("HAR §"), F.regexp_replace(target, "^har:", "")))
         .when(kind == "hrs_chapter", F.concat(F.lit("HRS chapter "), F.regexp_replace(target, "^(hrs:)?ch:", "")))
+        .when(kind == "hrs_part", F.regexp_replace(target, r"^(?:hrs:)?part:([^:]*):(.*)$", "HRS chapter $1, part $2"))
+        .when(kind == "har_chapter", F.concat(F.lit("HAR chapter "), F.regexp_replace(target, "^(har:)?ch:", "")))
+        .when(kind == "har", F.regexp_replace(F.regexp_replace(target, r"^har:(\d+):(.*)$", "HAR title $1, chapter $2"), r"^har:(\d+)$", "HAR title $1"))
+        .when(kind == "hi_const", F.regexp_replace(target, r"^hiconst:([IVXL]+):(.*)$", "Haw. Const. art. $1, §$2"))
+        .when(kind == "us_const", F.lit("U.S. Constitution"))
         .when(kind == "usc", F.regexp_replace(target, r"^usc:(\d+):(.*)$", "$1 U.S.C. §$2"))
         .when(kind == "cfr", F.regexp_replace(target, r"^cfr:(\d+):(.*)$", "$1 C.F.R. §$2"))
         .when(kind == "session_law", F.regexp_replace(target, r"^slh:(\d+):(\d+).*$", "Act $2, Session Laws $1"))

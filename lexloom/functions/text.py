@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What the numbers 128 to 159 mean in pages, by the Windows code page; unassigned ones stay.
+WINDOWS = [bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)]
 # Fixed values.
 DASHES = "‐‑‒–—―−"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&sect;", "§"), ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&")]
 MONTHS = {"january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6, "july": 7, "august": 8, "september": 9, "october": 10, "november": 11, "december": 12}
 
 
 def unescape(c: Column) -> Column:
-    for a, b in ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    """Entities as characters, by name (all of HTML, also the old ones without a semicolon where they end at a word's end) or by number; unknown ones stay.
+
+    The table of names is one folded constant. Numbers outside of Unicode, of surrogates and 0 give U+FFFD; 128 to 159 mean the Windows characters."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string, string>")
+
+    def one(x: Column, i: Column) -> Column:
+        hexa, deci = F.regexp_extract(x, r"^#[xX]([0-9a-fA-F]{1,8});?", 1), F.regexp_extract(x, r"^#([0-9]{1,9});?", 1)
+        n = F.when(hexa != "", F.conv(hexa, 16, 10).cast("bigint")).when(deci != "", deci.cast("bigint"))
+        windows = F.element_at(F.array(*[F.lit(w) for w in WINDOWS]), (n - 127).cast("int"))
+        char = F.when((n <= 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd")).when(n.between(128, 159), windows).otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        name = F.regexp_extract(x, r"^([A-Za-z][A-Za-z0-9]*;?)", 1)
+        rest = F.when(n.isNotNull(), F.regexp_replace(x, r"^#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});?", "")).otherwise(F.substr(x, F.length(name) + 1))
+        return F.when(i == 0, x).when(n.isNotNull(), F.concat(char, rest)).otherwise(F.coalesce(F.concat(F.try_element_at(names, name), rest), F.concat(F.lit("&"), x)))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), one), "")).otherwise(c)
 
 
 def strip_html(c: Column) -> Column:
@@ -34,6 +50,11 @@ def strip_tags(c: Column) -> Column:
     return flatten(unescape(F.regexp_replace(c, r"<[^>]*>", " ")))
 
 
+def clean(c: Column) -> Column:
+    """A fragment of HTML on one line: line breaks part words, other tags vanish, entities are read."""
+    return flatten(unescape(F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"<[^>]*>", "")))
+
+
 def flatten(c: Column) -> Column:
     """White space as single blanks, none at the ends."""
     return F.trim(F.regexp_replace(c, r"[\s\p{Z}]+", " "))
@@ -78,10 +99,28 @@ def printed_date(c: Column, pivot: int = 30) -> Column:
     return F.try_to_date(F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(part[0].cast("string"), 2, "0"), F.lpad(part[1].cast("string"), 2, "0")), "yyyy-MM-dd")
 
 
+#: A date as printed, and a date as stamped: a month's letters, a day of two signs, a year with stray blanks.
+PRINTED, STAMP = r"\d{1,2}/\d{1,2}/\d{2,4}", r"\b[A-Za-z]{2,4}\s*[O0-9]\s*\d\s*[,.]?\s*[12]\s*[09]\s*\d\s*\d\b"
+
+
+def stamp_to_date(c: Column) -> Column:
+    """A stamp as it would be printed, `12/9/2016` for `DEC 0 9 2016`; an unreadable month gives null. The month is told by its last two letters."""
+    s = F.regexp_replace(c, r"[\s,.]", "")
+    p = r"^([A-Za-z]+?)([Oo0-9]\d)([12][09]\d\d)$"
+    tail = F.lower(F.right(F.regexp_extract(s, p, 1), F.lit(2)))
+    month = F.coalesce(*[F.when(tail == n[:3][-2:], F.lit(m)) for n, m in MONTHS.items()])
+    return F.when(month.isNotNull(), F.concat_ws("/", month.cast("string"), F.translate(F.regexp_extract(s, p, 2), "Oo", "00").cast("int").cast("string"), F.regexp_extract(s, p, 3)))
+
+
+def dates_of(c: Column) -> Column:
+    """All dates of a note in order, as printed; stamped ones are read, and those with an unreadable month left out."""
+    found = F.regexp_extract_all(c, F.lit(rf"{PRINTED}|{STAMP}"), F.lit(0))
+    return F.array_compact(F.transform(found, lambda x: F.when(x.contains("/"), x).otherwise(stamp_to_date(x))))
+
+
 def last_date(c: Column, pivot: int = 30) -> Column:
-    """The last printed date of a note, such as the effective date of its last amendment."""
-    found = F.regexp_extract_all(c, F.lit(r"\d{1,2}/\d{1,2}/\d{2,4}"), F.lit(0))
-    return printed_date(F.try_element_at(found, F.lit(-1)), pivot)
+    """The last date of a note, printed or stamped, such as the effective date of its last amendment."""
+    return printed_date(F.try_element_at(dates_of(c), F.lit(-1)), pivot)
 
 
 def stamp_date(c: Column) -> Column:
@@ -115,8 +154,9 @@ def wikilinks(c: Column) -> Column:
 
 
 def mask_federal(c: Column) -> Column:
-    """Federal citations blanked out, so that their numbers aren't taken for sections."""
-    return F.regexp_replace(c, r"\d+\s+(?:U\.?\s?S\.?\s?C\.?|C\.?\s?F\.?\s?R\.?)\s*(?:§+\s*|sections?\s+|parts?\s+)?\d[0-9A-Za-z.\-]*", " ")
+    """Federal citations, public laws among them, blanked out, so that their numbers aren't taken for sections."""
+    c = F.regexp_replace(c, r"\d+\s+(?:U\.?\s?S\.?\s?C\.?|C\.?\s?F\.?\s?R\.?)\s*(?:§+\s*|sections?\s+|parts?\s+)?\d[0-9A-Za-z.\-]*", " ")
+    return F.regexp_replace(c, r"\bP(?:ub(?:lic)?)?\.?\s*L(?:aw)?\.?\s*(?:No\.?\s*)?\d+-\d+", " ")
 
 
 def rejoin_keyword(c: Column, words: tuple[str, ...] = ("Subchapter", "Chapter", "Subtitle", "Title", "Part")) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,19 +47,19 @@ def orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(edges.select(F.col("src").alias("id")), "id", "left_anti").join(edges.select(F.col("dst").alias("id")), "id", "left_anti")
 
 
-def unresolved(edges: DataFrame, nodes: DataFrame, examples: int = 6) -> DataFrame:
-    """Targets (kind, dst) that nodes (id) doesn't hold: citations, different sources, the first ones by name and the raw text first seen (least seq).
+def unresolved(edges: DataFrame, nodes: DataFrame, examples: int = 6, order: Callable[[Column], Column] | None = None, parts: int = 64) -> DataFrame:
+    """Targets (kind, dst) that nodes (id) doesn't hold: citations, different sources, the first ones in order (of a key of the name, or by name) and the raw text first seen (least seq).
 
-    The examples are cut from the sources of one target in a window, so no list of all of them is made."""
+    The first sources of a hot target are found in `parts` parts, of which each gives its first ones on; so no target's sources meet in one task, and no list of all of them is made."""
+    key = order or (lambda c: c)
     miss = edges.where(F.col("dst").isNotNull()).join(nodes.select(F.col("id").alias("dst")).distinct(), "dst", "left_anti")
     per = miss.groupBy("kind", "dst", "src").agg(F.count(F.lit(1)).alias("n"), F.min_by("raw", "seq").alias("raw"), F.min("seq").alias("seq"))
-    top = Window.partitionBy("kind", "dst").orderBy(F.col("src").asc_nulls_last())
-    per = per.withColumn("rank", F.row_number().over(top))
-    return per.groupBy("kind", "dst").agg(
-        F.sum("n").alias("citations"), F.count("src").alias("sources"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("rank") <= examples) & F.col("src").isNotNull(), F.struct("rank", "src")))), lambda x: x["src"]), ", ").alias("examples"),
-        F.min_by("raw", "seq").alias("first_raw"),
-    )
+    counts = per.groupBy("kind", "dst").agg(F.sum("n").alias("citations"), F.count("src").alias("sources"), F.min_by("raw", "seq").alias("first_raw"))
+    first = per.where(F.col("src").isNotNull()).select("kind", "dst", "src", key(F.col("src")).alias("_key"), F.pmod(F.xxhash64("src"), F.lit(parts)).alias("_part"))
+    for by in (["kind", "dst", "_part"], ["kind", "dst"]):
+        first = first.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy("_key", "src"))).where(F.col("_rank") <= examples)
+    names = first.groupBy("kind", "dst").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "src"))), lambda x: x["src"]), ", ").alias("examples"))
+    return counts.join(names, ["kind", "dst"], "left").select("kind", "dst", "citations", "sources", F.coalesce("examples", F.lit("")).alias("examples"), "first_raw")
 
 
 def as_of(left: DataFrame, right: DataFrame, by: list[str], order: str, value: str, inclusive: bool = True) -> DataFrame:
@@ -96,10 +97,37 @@ def keep_one(df: DataFrame, by: list[str], order: list[Column | str]) -> DataFra
 def upper_median(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """The element in the upper middle of each group's sorted values (index count // 2), with the count, least, greatest; nulls don't count.
 
-    A rank and a count over the group's sort give it, so no group is collected."""
+    Equal values are counted first, and a running sum over the different ones finds the middle, so that no group is sorted or collected as a whole."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by)
-    x = df.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count(F.lit(1)).over(w))
-    return x.groupBy(*by).agg(F.max(F.when(F.col("_i") == F.floor(F.col("_n") / 2), F.col(value))).alias("median"), F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("greatest"))
+    x = counts.withColumn("_upto", F.sum("_n").over(w.orderBy(value))).withColumn("_all", F.sum("_n").over(w))
+    return x.groupBy(*by).agg(F.min(F.when(F.col("_upto") > F.floor(F.col("_all") / 2), F.col(value))).alias("median"), F.sum("_n").alias("n"), F.min(value).alias("least"), F.max(value).alias("greatest"))
+
+
+def contents_split(df: DataFrame, by: list[str], order: str, item: str, share: float = 0.4, least: int = 2) -> DataFrame:
+    """best_split where the first half is a table of contents: by, split, accepted. No item comes twice, or fewer than `least` or `share` of the items of
+    the first half come again in the second: then there are no contents, and the split is 0."""
+    s = best_split(df, by, order, item)
+    x = df.select(*by, F.row_number().over(Window.partitionBy(*by).orderBy(order)).alias("_i"), F.col(item).alias("_x")).join(s, by)
+    sides = x.groupBy(*by, "split", "_x").agg(F.max((F.col("_i") <= F.col("split")).cast("int")).alias("_a"), F.max((F.col("_i") > F.col("split")).cast("int")).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    g = sides.groupBy(*by, "split").agg(F.sum("_a").alias("_toc"), F.sum(F.col("_a") * F.col("_b")).alias("_again"), F.max("_n").alias("_most"))
+    ok = (F.col("_most") > 1) & (F.col("_again") >= F.greatest(F.lit(float(least)), F.col("_toc") * share))
+    return g.select(*by, F.when(ok, F.col("split")).otherwise(0).alias("split"), ok.alias("accepted"))
+
+
+def cycles(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
+    """Edges that lead back to where a walk of up to `depth` steps from a seed came through: seed, src, dst, depth (the least at which that happens).
+
+    A walk is carried as its path, which has at most `depth` nodes, and ends at such an edge or at a target without edges."""
+    e = durable(edges.where("src is not null and dst is not null").select("src", "dst").distinct())
+    walk = seeds.select("seed").where("seed is not null").distinct().select("seed", F.col("seed").alias("at"), F.array("seed").alias("path"))
+    out = None
+    for d in range(1, depth + 1):
+        step = durable(walk.join(e, F.col("at") == F.col("src")).select("seed", "src", "dst", "path", F.array_contains("path", F.col("dst")).alias("back")))
+        found = step.where("back").select("seed", "src", "dst", F.lit(d).alias("depth"))
+        out = found if out is None else out.unionByName(found)
+        walk = step.where("not back").select("seed", F.col("dst").alias("at"), F.concat("path", F.array("dst")).alias("path"))
+    return out.groupBy("seed", "src", "dst").agg(F.min("depth").alias("depth"))
 
 
 def best_split(df: DataFrame, by: list[str], order: str, item: str) -> DataFrame:

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.functions.text import fuzzy_pattern
 from lexloom.operators.graph import as_of, forward_fill
 
 # Headings of editorial notes, and the shapes of section starts and history notes.
@@ -54,21 +56,27 @@ def split_statute(text: str) -> dict[str, str | None]:
     }
 
 
+_PARENTHESIS = re.compile(r"[()]")
+
+
 def balanced(text: str, start: int) -> int:
     """End of the parenthesis that opens at `start`, or -1 if it never closes."""
-    depth = 0
-    for i in range(start, len(text)):
-        depth += (text[i] == "(") - (text[i] == ")")
-        if depth == 0:
-            return i + 1
-    return -1
+    places = [(m.start(), 1 if m.group() == "(" else -1) for m in _PARENTHESIS.finditer(text, start)]
+    depths = accumulate(step for _, step in places)
+    return next((at + 1 for (at, _), depth in zip(places, depths) if depth == 0), -1)
 
 
 _NOTE = {k: re.compile(rf"\(\s*{a}\s*:", re.I) for k, a in (("auth", r"A\s?u\s?t\s?h"), ("imp", r"[I1l]\s?m\s?p"))}
 
 
+#: A source note that lost its bracket, on one side or both, and a heading of the next sub-chapter behind a section.
+_UNBRACKETED = re.compile(r"(?s)((?:\[|(?<=\.\s)|(?<=\s))(?:Eff|R)\b[^()\[\]]{0,150}?)\s*\Z")
+_HEADING_BEHIND = re.compile(r"(?:\A|\s)SUBCHAPTER\s+\d+\s+[A-Z0-9 ,;-]+\s*\Z", re.I)
+
+
 def split_rule(text: str) -> dict[str, str | None]:
-    """operative, source_note, auth, imp, annotation of one rule section; an authority note that never closes ends where the next begins."""
+    """operative, source_note, auth, imp, annotation of one rule section; an authority note that never closes ends where the next begins,
+    a source note that lost its bracket begins at its first word."""
     spans: dict[str, tuple[int, int]] = {}
     for k, p in _NOTE.items():
         if found := list(p.finditer(text)):
@@ -83,10 +91,12 @@ def split_rule(text: str) -> dict[str, str | None]:
         end = text.rfind("]", 0, first)
         start = text.rfind("[", 0, end)
         note = (start, end + 1) if start >= 0 else None
+    if not note and first < len(text) and (m := _UNBRACKETED.search(text, 0, first)):
+        note = m.span(1)
     cut = note[0] if note else first
     after = max([e for _, e in spans.values()] + ([note[1]] if note else [len(text)]))
     get = lambda s: text[s[0] : s[1]].strip() if s else None
-    return {"operative": text[:cut].strip(), "source_note": get(note), "auth": get(spans.get("auth")), "imp": get(spans.get("imp")), "annotation": text[after:].strip() or None}
+    return {"operative": text[:cut].strip(), "source_note": get(note), "auth": get(spans.get("auth")), "imp": get(spans.get("imp")), "annotation": _HEADING_BEHIND.sub("", text[after:]).strip() or None}
 
 
 def _zones(df: DataFrame, key: str, text: str, split, names: list[str]) -> DataFrame:
@@ -171,6 +181,34 @@ def toc_repair(sections: DataFrame, toc: DataFrame, lines: DataFrame, doc: str)
     return lines.join(missing, doc).where(squeezed.startswith(F.regexp_replace("id", r"\s", ""))).groupBy(doc, "id").agg(F.min("line").alias("line"))
 
 
+def reparse(df: DataFrame, doc: str, text: str, header: str, toc: DataFrame, least: str = r"[\s]{0,4}(?:[§S5$]\s*)?") -> tuple[DataFrame, DataFrame]:
+    """Sections of documents in two passes: what the contents (doc, id) name and the first pass lacks is looked for under usual misreadings of its header line,
+    section sign included; that line gets the printed header, and the document is cut again. Gives the sections, and a log: doc, id, line, before.
+
+    A number is only found whole: 1-1-40 is not 1-1-4. Of several lines the first is mended."""
+    missing = toc.select(doc, "id").distinct().join(sections_of(df, doc, text, header).select(doc, "id"), [doc, "id"], "left_anti")
+    pattern = F.concat(F.lit(rf"^{least}("), fuzzy_pattern(F.col("id")), F.lit(r")\s+(?=[A-Z(\"'])"))
+    lines = df.select(doc, F.posexplode(F.split(text, "\n")).alias("line", "t"))
+    log = lines.join(missing, doc).where(F.regexp_count("t", pattern) > 0).groupBy(doc, "id").agg(F.min_by("t", "line").alias("before"), F.min("line").alias("line")).select(doc, "id", "line", "before")
+    hit = log.groupBy(doc, "line").agg(F.min("id").alias("id"))
+    mended = lines.join(hit, [doc, "line"], "left").withColumn("t", F.when(F.col("id").isNotNull(), F.concat(F.lit("§"), F.col("id"), F.lit(" "), F.regexp_replace("t", pattern, F.lit("")))).otherwise(F.col("t")))
+    again = mended.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "t"))), lambda x: x["t"]), "\n").alias(text))
+    return sections_of(again, doc, text, header), log
+
+
+def strip_pages(df: DataFrame, key: list[str], text: str, running: str | None = None, tail: int = 5) -> DataFrame:
+    """Pages without running headers and page numbers (strip_page): the key columns and the text. running: a column with each page's header. A null page stays null."""
+    src = df.select(F.struct(*[F.col(f"`{k}`") for k in key]).alias("_key"), F.col(text).alias("_t"), (F.col(running) if running else F.lit(None)).cast("string").alias("_r"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = [None if t is None else strip_page(t, r, tail) for t, r in zip(b.column("_t").to_pylist(), b.column("_r").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("_key"), pa.array(done, pa.string())], names=["_key", "_t"])
+
+    out = src.mapInArrow(run, f"_key {src.schema['_key'].dataType.simpleString()}, _t string")
+    return out.select(*[F.col(f"_key.`{k}`").alias(k) for k in key], F.col("_t").alias(text))
+
+
 def constitution(df: DataFrame, doc: str, text: str) -> DataFrame:
     """A constitution's sections: doc, article, section, catchline, body, history, repealed. A line in capitals (over 90 %, under 220 characters) is the title of what follows."""
     lines = df.select(doc, F.posexplode(F.split(text, "\n")).alias("line", "t")).withColumn("t", F.trim("t")).where("t <> ''")

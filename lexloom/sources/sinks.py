@@ -30,6 +30,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if fs.exists(dst):
         fs.rename(dst, old)
     if not fs.rename(src, dst):
+        if fs.exists(old) and not fs.exists(dst):
+            fs.rename(old, dst)
         raise OSError(f"could not put {path} in place")
     fs.delete(old, True)
 

@@ -74,3 +74,28 @@ def test_hints(spark):
     assert [r[0] for r in df.select(X.repealed_range(F.col("c"), F.col("n"))).collect()] == ["REPEALED (§§7-20 to 7-22)", "REPEALED (§§7-20 to 7-22)", "Fees", None]
     df = spark.createDataFrame([("PART II. X", "7", True), (None, "8", False)], "p string, c string, r boolean")
     assert [r[0] for r in df.select(X.page_tags(F.col("p"), F.col("c"), F.col("r"))).collect()] == [["chapter/7", "part/ii", "repealed"], ["chapter/8"]]
+
+
+def test_entities(spark):
+    import html
+
+    texts = ["Hawai&#8217;i &rsquo; &eacute;", "&#x41;&#66; &lt;a&gt; &amp;amp; &nosuch; & &", "&copy 2001 &sect;5", "&#0;&#xD800;&#150;", "no entity", "a &#8217 b", "&Aacute;&hellip;&nbsp;x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string")
+    got = {r.i: r.x for r in df.select("i", X.unescape(F.col("t")).alias("x")).collect()}
+    assert got[99] is None and [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
+    assert df.select(X.clean(F.lit("a<br/>b<b>c</b> &amp;  d"))).first()[0] == "a bc & d"
+
+
+def test_stamps(spark):
+    rows = [("[Eff 2/11/87; comp DEC 0 9 2016]", "2016-12-09"), ("[Eff nEC O9 2 0 1 6; am 1/2/17]", "2017-01-02"), ("[Eff 3/4/90 xyz 12 1999]", "1990-03-04"), (None, None), ("none", None)]
+    df = spark.createDataFrame([(a,) for a, _ in rows], "t string")
+    assert [str(r[0]) if r[0] else None for r in df.select(X.last_date(F.col("t"))).collect()] == [w for _, w in rows]
+    assert spark.range(1).select(X.mask_federal(F.lit("Public Law 107-252, P.L. No. 9-1, 5 U.S.C. 7-8, 11-15"))).first()[0].split() == [",", ",", ",", "11-15"]
+
+
+def test_more_names(spark):
+    rows = [("hi_const", "Preamble"), ("hi_const", "Art. I §1"), ("hi_const", "Art. XIV"), ("hrs_part", "part:11:II"), ("har", "har:3:160")]
+    df = spark.createDataFrame(rows, "k string, t string")
+    assert [r[0] for r in df.select(I.namespaced(F.col("k"), F.col("t"))).collect()] == ["hiconst:preamble", "hiconst:I:1", "hiconst:art:XIV", "hrs:part:11:II", "har:3:160"]
+    assert df.select(I.display(F.col("k"), F.col("t"))).collect()[3][0] == "HRS chapter 11, part II"
+    assert spark.range(1).select(I.classify_key(F.lit("Hawaii Constitution"))["kind"]).first()[0] == "group"

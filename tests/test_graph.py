@@ -90,3 +90,20 @@ def test_renumbering_to_the_end(spark, tmp_path):
     rows = P.renumbering(spark, str(tmp_path)).collect()
     assert {(r.node, r.depth) for r in rows if r.seed == "hrs:7-1"} == {(f"hrs:7-{i}", i - 1) for i in range(2, 9)}
     assert len(rows) == 28 + 4
+
+
+def test_contents_and_cycles(spark):
+    s = spark.createDataFrame([("d", i, x) for i, x in enumerate("abcabc")] + [("e", i, x) for i, x in enumerate("abcd")] + [("f", i, x) for i, x in enumerate("abcdea")], "d string, i int, x string")
+    assert {(r.d, r.split, r.accepted) for r in G.contents_split(s, ["d"], "i", "x").collect()} == {("d", 3, True), ("e", 0, False), ("f", 0, False)}
+    e = spark.createDataFrame([("A", "B"), ("B", "C"), ("C", "B"), ("C", "D"), ("D", "D")], "src string, dst string")
+    seeds = spark.createDataFrame([("A",)], "seed string")
+    assert {tuple(r) for r in G.cycles(e, seeds, 4).collect()} == {("A", "C", "B", 3), ("A", "D", "D", 4)}
+
+
+def test_examples_in_order(spark):
+    e = spark.createDataFrame([("k", f"11-{i}", "Z", "r", i) for i in (10, 9, 2, 100)] + [("k", None, "Z", "r", 0)], "kind string, src string, dst string, raw string, seq int")
+    from lexloom.functions.ids import statute_key
+
+    nodes = spark.createDataFrame([("A",)], "id string")
+    row = G.unresolved(e, nodes, 3, statute_key).first()
+    assert (row.examples, row.citations, row.sources) == ("11-2, 11-9, 11-10", 5, 4)

@@ -79,3 +79,23 @@ def test_tables(spark):
     n = spark.createDataFrame([("d", "1", "note"), ("d", "2", "lost")], "doc string, mark string, note string")
     with_note, lost = S.footnotes(c, n, ["doc"])
     assert with_note.where("note is not null").count() == 1 and lost.first().note == "lost"
+
+
+def test_fallbacks():
+    z = S.split_rule("§3-1-1 Text. Eff 2/11/87; am 4/1/90 (Auth: HRS §11-1) (Imp: HRS §11-2) SUBCHAPTER 2 FEES AND COSTS")
+    assert (z["operative"], z["source_note"], z["annotation"]) == ("§3-1-1 Text.", "Eff 2/11/87; am 4/1/90", None)
+    assert S.split_rule("Text. [Eff 2/11/87 (Auth: HRS §11-1)")["source_note"] == "[Eff 2/11/87"
+    assert S.balanced("a (b (c) d) e", 2) == 11 and S.balanced("(a (b)", 0) == -1
+
+
+def test_reparse(spark):
+    df = spark.createDataFrame([("d", "§1-1-1 A\nx\nS1-l-2 Bees\ny\n§1-1-40 Other\n5 1-1-3 \"C\"\nz")], "doc string, t string")
+    toc = spark.createDataFrame([("d", x) for x in ("1-1-1", "1-1-2", "1-1-3", "1-1-4")], "doc string, id string")
+    s, log = S.reparse(df, "doc", "t", r"^§(\d+-\d+-\d+)", toc)
+    assert [(r.id, r.body.split("\n")[-1]) for r in s.orderBy("pos").collect()] == [("1-1-1", "x"), ("1-1-2", "y"), ("1-1-40", "§1-1-40 Other"), ("1-1-3", "z")]
+    assert {(r.id, r.before) for r in log.collect()} == {("1-1-2", "S1-l-2 Bees"), ("1-1-3", '5 1-1-3 "C"')}
+
+
+def test_pages_as_rows(spark):
+    df = spark.createDataFrame([("d", 1, "RULES\nbody\n12-3"), ("d", 2, None)], "doc string, page int, t string")
+    assert [r.t for r in S.strip_pages(df.withColumn("head", S.F.lit("rules")), ["doc", "page"], "t", "head").orderBy("page").collect()] == ["body", None]
