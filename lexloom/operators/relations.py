@@ -85,6 +85,18 @@ def expand_lists(df: DataFrame, key: str, text: str) -> DataFrame:
     return x.select(key, F.row_number().over(w).alias("pos"), "member", "parsed")
 
 
+def covered(df: DataFrame, key: str, catchline: str) -> DataFrame:
+    """Numbers that one repealing section stands for: key, catchline, member. `REPEALED (§§7-20 to 7-22)` covers 7-21 and 7-22; of ends that are no whole numbers
+    behind one prefix only the far end; other catchlines none."""
+    p = r"REPEALED \(§§(\S+?) to (\S+?)\)"
+    a, b = F.regexp_extract(catchline, p, 1), F.regexp_extract(catchline, p, 2)
+    x = df.select(key, catchline, a.alias("_a"), b.alias("_b")).where("_a <> ''")
+    lead, number = (lambda c: F.regexp_extract(c, r"^(.*-)[^-]*$", 1)), (lambda c: F.regexp_extract(c, r"-(\d{1,6})$", 1).try_cast("int"))
+    whole = (lead(F.col("_a")) == lead(F.col("_b"))) & (number(F.col("_a")) < number(F.col("_b")))
+    inside = F.transform(F.sequence(number(F.col("_a")) + 1, number(F.col("_b"))), lambda n: F.concat(lead(F.col("_a")), n.cast("string")))
+    return x.select(key, catchline, F.explode(F.when(whole, inside).otherwise(F.array("_b"))).alias("member"))
+
+
 def quarantine(df: DataFrame, by: list[str], bad: Column, share: float, least: int = 0) -> DataFrame:
     """Every row with `quarantined`: whether more than max(least, share of the rows) of its group are bad. Nothing is dropped."""
     group = df.groupBy(*by).agg(F.count_if(bad).alias("_bad"), F.count(F.lit(1)).alias("_n"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.functions.ids import bare, namespaced, proper_section, proper_target, squeeze
+from lexloom.functions.ids import bare, namespaced, proper_section, proper_target, squeeze, statute_key
 from lexloom.operators import graph as G
-from lexloom.plans.sqlparts import GRAPH, LIVE
+from lexloom.plans.sqlparts import GRAPH, GRAPH_ALL, LIVE, natural_sql, proper_target_sql
 from lexloom.sources.tables import table
 
 
@@ -50,7 +50,42 @@ def graph_queue(spark, d):
     """Operative targets of all kinds that the corpus lacks: sections without a row, chapters without a section, everything outside; parts are no targets of their own."""
     s = table(spark, d, "sections")
     known = s.select("id").union(s.select(F.concat_ws(":ch:", "layer", "chapter")))
-    return G.unresolved(citation_edges(spark, d).where("zone = 'operative' and kind not in ('hrs_part', 'har_part', 'hrs_chapter_part')"), known)
+    e = citation_edges(spark, d).where("zone = 'operative' and kind not in ('hrs_part', 'har_part', 'hrs_chapter_part')")
+    return G.unresolved(e, known, order=lambda c: F.struct(F.substring_index(c, ":", 1).alias("layer"), statute_key(F.substring_index(c, ":", -1)).alias("num")))
+
+
+def graph_queue_groups(spark, d):
+    """The queue as a report of five groups: chapters, sections by their chapter, federal law, constitutions and other rules, and repealed sections that are still cited; each item with citations, sources and zones."""
+    s = table(spark, d, "sections")
+    known = s.select("id").union(s.select(F.concat_ws(":ch:", "layer", "chapter"))).distinct()
+    e = citation_edges(spark, d).where("dst is not null")
+    group = (
+        F.when(F.col("kind").isin("hrs_chapter", "har_chapter"), "1 chapters").when(F.col("kind").isin(*SECTIONS), "2 sections")
+        .when(F.col("kind").isin("usc", "cfr", "public_law"), "3 federal").otherwise("4 other")
+    )
+    lost = e.join(known.select(F.col("id").alias("dst")), "dst", "left_anti").withColumn("grp", group)
+    repealed = s.groupBy(F.col("id").alias("dst")).agg(F.max("repealed").alias("r")).where("r = 1").select("dst")
+    rows = lost.unionByName(e.where(F.col("kind").isin(*SECTIONS)).join(repealed, "dst", "left_semi").withColumn("grp", F.lit("5 repealed")))
+    item = F.when(F.col("grp") == "2 sections", F.regexp_replace("dst", r"-[^-]*$", "")).otherwise(F.col("dst"))
+    per = rows.groupBy("grp", item.alias("item"))
+    return per.agg(F.count(F.lit(1)).alias("citations"), F.count_distinct("src").alias("sources"), F.coalesce(F.array_join(F.array_sort(F.collect_set("zone")), "/"), F.lit("")).alias("zones"))
+
+
+def unresolved_top(spark, d):
+    """The 12 targets that most citations of all zones miss."""
+    return graph_queue(spark, d).select("kind", "dst", "citations").orderBy(F.desc("citations"), "kind", "dst").limit(12)
+
+
+def out_in_order(spark, d):
+    """What each repealed section cites, statutes and rules first in natural order, then the others by kind and name, numbered."""
+    e = citation_edges(spark, d).where("zone = 'operative' and src is not null and dst is not null").join(_seeds(spark, d).distinct(), F.col("src") == F.col("seed"), "left_semi").select("src", "kind", "dst").distinct()
+    w = Window.partitionBy("src").orderBy(~F.col("kind").isin(*SECTIONS), F.when(F.col("kind").isin(*SECTIONS), F.lit("")).otherwise(F.col("kind")), statute_key(F.when(F.col("kind").isin(*SECTIONS), F.substring_index("dst", ":", -1)).otherwise(F.lit(""))), "kind", "dst")
+    return e.select("src", F.row_number().over(w).alias("pos"), "kind", "dst")
+
+
+def back_references(spark, d):
+    """Citations that lead back to a section which a walk of three steps from a repealed one came through."""
+    return G.cycles(section_edges(spark, d).where("zone = 'operative'"), _seeds(spark, d), 3)
 
 
 def _seeds(spark, d):
@@ -118,7 +153,7 @@ def renumbering(spark, d):
     return G.reach(e, e.select(F.col("src").alias("seed")), None).select("seed", "node", "depth")
 
 
-_OUT = """WITH RECURSIVE {graph}, e AS (SELECT DISTINCT {a} AS a, {b} AS b FROM g WHERE {where} AND src IS NOT NULL AND dst IS NOT NULL),
+_OUT = """WITH RECURSIVE {graph}, e AS (SELECT DISTINCT {a} AS a, {b} AS b FROM {g} WHERE {where} AND src IS NOT NULL AND dst IS NOT NULL),
 r(seed, node, depth) AS (SELECT DISTINCT id, b, 1 FROM sections JOIN e ON e.a = id WHERE repealed = 1
  UNION SELECT seed, b, depth + 1 FROM r JOIN e ON e.a = r.node WHERE depth < {depth})
 SELECT seed, node, min(depth) AS depth, seed = node AS on_cycle{extra} FROM r GROUP BY seed, node"""
@@ -129,13 +164,30 @@ SQL = {
     "graph_hub_labels": f"""WITH {GRAPH}, h AS (SELECT dst AS node, count(DISTINCT src) AS sources FROM g WHERE zone = 'operative' AND dst IS NOT NULL GROUP BY dst),
  n AS (SELECT id, min(catchline) AS name FROM sections GROUP BY id)
  SELECT node, sources, CASE WHEN id IS NULL THEN '[not in corpus]' ELSE coalesce(name, '') END AS label FROM h LEFT JOIN n ON id = node""",
-    "graph_orphans": f"WITH {GRAPH}, {LIVE} SELECT id FROM live WHERE NOT EXISTS (SELECT 1 FROM g WHERE zone = 'operative' AND g.src = id) AND NOT EXISTS (SELECT 1 FROM g WHERE zone = 'operative' AND g.dst = id)",
-    "graph_queue": f"""WITH {GRAPH}, m AS (SELECT * FROM g WHERE zone = 'operative' AND dst IS NOT NULL AND dst NOT IN (SELECT id FROM sections))
- SELECT kind, dst, count(*) AS citations, count(DISTINCT src) AS sources, array_to_string(list_sort(list(DISTINCT src) FILTER (src IS NOT NULL))[1:6], ', ') AS examples, arg_min(raw, edge_id) FILTER (raw IS NOT NULL OR TRUE) AS first_raw FROM m GROUP BY kind, dst""",
-    "graph_out": _OUT.format(graph=GRAPH, a="src", b="dst", where=_OP, depth=3, extra=""),
-    "graph_in": _OUT.format(graph=GRAPH, a="dst", b="src", where=_OP, depth=3, extra=""),
-    "graph_both": "SELECT * FROM (" + _OUT.format(graph=GRAPH, a="src", b="dst", where="zone IN ('operative', 'annotation')", depth=2, extra=", 'out' AS direction") + ") UNION ALL SELECT * FROM (" + _OUT.format(graph=GRAPH, a="dst", b="src", where="zone IN ('operative', 'annotation')", depth=2, extra=", 'in' AS direction") + ")",
-    "graph_degrees": f"""WITH {GRAPH}, o AS (SELECT src AS node, count(DISTINCT (kind, dst)) AS n FROM g WHERE src IS NOT NULL AND dst IS NOT NULL GROUP BY src),
+    "graph_orphans": f"WITH {GRAPH}, {GRAPH_ALL}, {LIVE} SELECT id FROM live WHERE NOT EXISTS (SELECT 1 FROM ga WHERE zone = 'operative' AND ga.src = id) AND NOT EXISTS (SELECT 1 FROM g WHERE zone = 'operative' AND g.dst = id)",
+    "graph_queue": f"""WITH {GRAPH_ALL}, k AS (SELECT id FROM sections UNION SELECT layer || ':ch:' || chapter FROM sections),
+ m AS (SELECT * FROM ga WHERE zone = 'operative' AND dst IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k WHERE k.id = ga.dst)),
+ n AS (SELECT DISTINCT kind, dst, src, split_part(src, ':', 1) AS layer, split_part(src, ':', -1) AS num FROM m WHERE src IS NOT NULL),
+ r AS (SELECT kind, dst, src, row_number() OVER (PARTITION BY kind, dst ORDER BY layer, {natural_sql("num")}, src) AS r FROM n),
+ x AS (SELECT kind, dst, string_agg(src, ', ' ORDER BY r) AS examples FROM r WHERE r <= 6 GROUP BY kind, dst)
+ SELECT m.kind, m.dst, count(*) AS citations, count(DISTINCT src) AS sources, coalesce(any_value(examples), '') AS examples, arg_min(raw, edge_id) FILTER (raw IS NOT NULL OR TRUE) AS first_raw FROM m LEFT JOIN x ON x.kind = m.kind AND x.dst = m.dst GROUP BY m.kind, m.dst""",
+    "graph_queue_groups": f"""WITH {GRAPH_ALL}, k AS (SELECT id FROM sections UNION SELECT layer || ':ch:' || chapter FROM sections), p AS (SELECT id FROM sections GROUP BY id HAVING max(repealed) = 1),
+ e AS (SELECT * FROM ga WHERE dst IS NOT NULL),
+ m AS (SELECT CASE WHEN kind IN ('hrs_chapter', 'har_chapter') THEN '1 chapters' WHEN kind IN ('hrs_section', 'har_section') THEN '2 sections' WHEN kind IN ('usc', 'cfr', 'public_law') THEN '3 federal' ELSE '4 other' END AS grp, * FROM e WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.id = e.dst)
+  UNION ALL SELECT '5 repealed', * FROM e WHERE kind IN ('hrs_section', 'har_section') AND dst IN (SELECT id FROM p))
+ SELECT grp, CASE WHEN grp = '2 sections' THEN regexp_replace(dst, '-[^-]*$', '') ELSE dst END AS item, count(*) AS citations, count(DISTINCT src) AS sources, coalesce(array_to_string(list_sort(list(DISTINCT zone) FILTER (zone IS NOT NULL)), '/'), '') AS zones FROM m GROUP BY ALL""",
+    "unresolved_top": f"""WITH {GRAPH_ALL}, k AS (SELECT id FROM sections UNION SELECT layer || ':ch:' || chapter FROM sections)
+ SELECT kind, dst, count(*) AS citations FROM ga WHERE zone = 'operative' AND dst IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k WHERE k.id = ga.dst) GROUP BY kind, dst ORDER BY citations DESC, kind, dst LIMIT 12""",
+    "out_in_order": f"""WITH {GRAPH_ALL}, e AS (SELECT DISTINCT src, kind, dst, kind IN ('hrs_section', 'har_section') AS s, split_part(dst, ':', -1) AS num FROM ga WHERE zone = 'operative' AND dst IS NOT NULL AND src IN (SELECT id FROM sections WHERE repealed = 1))
+ SELECT src, row_number() OVER (PARTITION BY src ORDER BY NOT s, CASE WHEN s THEN '' ELSE kind END, CASE WHEN s THEN struct_pack(x := {natural_sql("num").replace("), regexp_extract(", "), y := regexp_extract(").replace(", list_transform(", ", z := list_transform(")}) END, kind, dst) AS pos, kind, dst FROM e""",
+    "back_references": f"""WITH RECURSIVE {GRAPH}, e AS (SELECT DISTINCT src AS a, dst AS b FROM g WHERE zone = 'operative' AND src IS NOT NULL AND dst IS NOT NULL),
+ w(seed, cur, prior, path, back, depth) AS (SELECT DISTINCT id, e.b, e.a, [id, e.b], e.b = id, 1 FROM sections JOIN e ON e.a = id WHERE repealed = 1
+  UNION ALL SELECT seed, e.b, e.a, list_append(path, e.b), list_contains(path, e.b), depth + 1 FROM w JOIN e ON e.a = w.cur WHERE NOT back AND depth < 3)
+ SELECT seed, prior AS src, cur AS dst, min(depth) AS depth FROM w WHERE back GROUP BY seed, prior, cur""",
+    "graph_out": _OUT.format(graph=GRAPH_ALL, a="src", b="dst", g="ga", where=_OP, depth=3, extra=""),
+    "graph_in": _OUT.format(graph=GRAPH, a="dst", b="src", g="g", where=_OP, depth=3, extra=""),
+    "graph_both": "SELECT * FROM (" + _OUT.format(graph=GRAPH_ALL, a="src", b="dst", g="ga", where="zone IN ('operative', 'annotation')", depth=2, extra=", 'out' AS direction") + ") UNION ALL SELECT * FROM (" + _OUT.format(graph=GRAPH, a="dst", b="src", g="g", where="zone IN ('operative', 'annotation')", depth=2, extra=", 'in' AS direction") + ")",
+    "graph_degrees": f"""WITH {GRAPH}, {GRAPH_ALL}, o AS (SELECT src AS node, count(DISTINCT (kind, dst)) AS n FROM ga WHERE src IS NOT NULL AND dst IS NOT NULL GROUP BY src),
  i AS (SELECT dst AS node, count(DISTINCT src) AS n FROM g WHERE src IS NOT NULL AND dst IS NOT NULL GROUP BY dst)
  SELECT coalesce(o.node, i.node) AS node, coalesce(o.n, 0) AS refs_out, coalesce(i.n, 0) AS refs_in FROM o FULL JOIN i ON o.node = i.node""",
     "graph_queue_chapters": f"""WITH {GRAPH}, m AS (SELECT *, regexp_extract(dst, '^(.*)-[^-]*$', 1) AS chapter FROM g WHERE dst IS NOT NULL AND dst NOT IN (SELECT id FROM sections))
@@ -147,8 +199,8 @@ SQL = {
     "link_lint": f"""WITH {GRAPH} SELECT dst AS id, count(*) AS links, min(src) AS example, 'dead' AS problem FROM g WHERE dst IS NOT NULL AND dst NOT IN (SELECT id FROM sections) GROUP BY dst
  UNION ALL SELECT DISTINCT id, 0, NULL, 'unlinked' FROM sections WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.dst = sections.id)""",
     "rules_by_statute": "SELECT dst, count(DISTINCT src) AS rules FROM edges WHERE relation = 'authorized_by' AND dst IS NOT NULL GROUP BY dst ORDER BY rules DESC, dst LIMIT 10",
-    "renumbering": """WITH RECURSIVE e AS (SELECT DISTINCT dst AS a, src AS b FROM edges WHERE relation = 'renumbered_from' AND src IS NOT NULL AND dst IS NOT NULL),
- r(seed, node, depth) AS (SELECT a, b, 1 FROM e UNION SELECT seed, b, depth + 1 FROM r JOIN e ON e.a = r.node WHERE depth < 4)
+    "renumbering": f"""WITH RECURSIVE n AS (SELECT {proper_target_sql("dst")} AS a, {proper_target_sql("src")} AS b FROM edges WHERE relation = 'renumbered_from' AND src IS NOT NULL AND dst IS NOT NULL),
+ e AS (SELECT DISTINCT a, b FROM n), r(seed, node, depth) AS (SELECT a, b, 1 FROM e UNION SELECT seed, b, depth + 1 FROM r JOIN e ON e.a = r.node WHERE depth < 100)
  SELECT seed, node, min(depth) AS depth FROM r GROUP BY seed, node""",
 }
 QUERIES = {k: globals()[k] for k in SQL}

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids as I
+from lexloom.operators import cite as C
 from lexloom.operators import quality as Q
 from lexloom.operators import relations as R
 from lexloom.operators.segment import rule_zones
+from lexloom.plans.graph import section_edges
+from lexloom.plans.sqlparts import GRAPH, LAYER, NUM
 from lexloom.sources import sinks as K
 from lexloom.sources.tables import table
 
@@ -15,17 +18,28 @@ CHECKS = [
     ("layers", "SELECT count(DISTINCT layer) FROM v_sections", "=", 2),
     ("sections", "SELECT count(*) FROM v_sections", ">=", 100),
     ("sections_without_id", "SELECT count(*) FROM v_sections WHERE id IS NULL OR id = ''", "=", 0),
-    ("zones_without_section", "SELECT count(*) FROM v_zones WHERE section_id NOT IN (SELECT id FROM v_sections)", "=", 0),
+    ("zones_without_section", "SELECT count(*) FROM v_zones z WHERE NOT EXISTS (SELECT 1 FROM v_sections s WHERE s.id = z.section_id)", "=", 0),
     ("known_zones", "SELECT count(DISTINCT zone) FROM v_zones", "=", 7),
     ("repeated_zones", "SELECT count(*) FROM (SELECT section_id, zone FROM v_zones GROUP BY section_id, zone HAVING count(*) > 1)", "=", 0),
     ("edges_without_source", "SELECT count(*) FROM v_edge WHERE src IS NULL", "=", 0),
     ("repealed", "SELECT count(*) FROM v_sections WHERE repealed = 1", ">=", 1),
+    ("statutes", "SELECT count(*) FROM v_sections WHERE layer = 'hrs'", ">=", 50),
+    ("rules", "SELECT count(*) FROM v_sections WHERE layer = 'har'", ">=", 50),
+    ("rule_titles", "SELECT count(DISTINCT id) FROM v_units WHERE layer = 'har' AND kind = 'title'", ">=", 20),
+    ("statute_chapters", "SELECT count(DISTINCT id) FROM v_units WHERE layer = 'hrs' AND kind = 'chapter'", ">=", 100),
+    ("units_of_one_kind", "SELECT count(*) FROM (SELECT id FROM v_units GROUP BY id HAVING count(DISTINCT kind) > 1)", "=", 0),
+    ("repeated_edges", "SELECT count(*) FROM (SELECT edge_id FROM v_edge GROUP BY edge_id HAVING count(*) > 1)", "=", 0),
+    ("rule_text_edges", "SELECT count(*) FROM v_edges WHERE attestation = 'rule_text'", ">=", 100),
+    ("table_edges", "SELECT count(*) FROM v_edges WHERE attestation = 'lrb2025'", ">=", 100),
+    ("statute_text_edges", "SELECT count(*) FROM v_edges WHERE attestation = 'hrs_text'", ">=", 100),
+    ("acts", "SELECT count(DISTINCT target) FROM v_edge WHERE kind = 'session_law'", ">=", 10),
+    ("rules_by_one_statute", "SELECT max(n) FROM (SELECT dst, count(DISTINCT src) AS n FROM v_edges WHERE relation = 'authorized_by' GROUP BY dst)", ">=", 2),
     ("found_by_word", "SELECT count(*) FROM v_zones WHERE body LIKE '%section%'", ">=", 1),
 ]
 
 
 def checks(spark, d):
-    for t in ("sections", "zones", "edge"):
+    for t in ("sections", "zones", "edge", "edges", "units"):
         table(spark, d, t).createOrReplaceTempView(f"v_{t}")
     return Q.run_checks(spark, CHECKS)
 
@@ -44,11 +58,17 @@ def contents_against_body(spark, d):
 
 
 def rebuild_regression(spark, d):
-    """Edges parsed again from their raw text, against those stored: rows that differ, as counts per side."""
-    e = table(spark, d, "edge").where("kind = 'usc' and raw is not null and target is not null")
-    old = e.select("edge_id", F.trim("target").alias("target"))
-    new = e.select("edge_id", F.concat_ws(":", F.lit("usc"), F.regexp_extract("raw", r"(\d+)\s+U\.S\.C\.\s*§*\s*(\d+)", 1), F.regexp_extract("raw", r"(\d+)\s+U\.S\.C\.\s*§*\s*(\d+)", 2)).alias("target"))
-    return Q.regression(old, new).groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    """Federal citations read again from their raw text by the extractor: per kind the rows stored and read again, and those that differ on either side."""
+    e = table(spark, d, "edge").where("kind in ('usc', 'cfr') and raw is not null and target is not null").select("edge_id", "kind", "raw", F.trim("target").alias("target"))
+    old = e.select("edge_id", "kind", "target")
+    new = C.extract(e.select("edge_id", "raw"), ["edge_id"], "raw", "statute").where("kind in ('usc', 'cfr')").select("edge_id", "kind", "target")
+    count = lambda x, name: x.groupBy("kind").agg(F.count(F.lit(1)).alias(name))
+    differ = Q.regression(old, new)
+    sides = [count(old, "stored"), count(new, "read"), count(differ.where("side = 'old'"), "only_stored"), count(differ.where("side = 'new'"), "only_read")]
+    out = sides[0]
+    for x in sides[1:]:
+        out = out.join(x, "kind", "full")
+    return out.na.fill(0)
 
 
 def upsert_units(spark, d):
@@ -85,12 +105,12 @@ def rule_text_round_trip(spark, d):
 
 
 def citation_pages(spark, d):
-    """A page per section with what it cites: paths and lengths of the contents."""
+    """A page per section with what it cites and what cites it: paths and lengths of the contents."""
     s = table(spark, d, "sections").groupBy("id").agg(F.max("catchline").alias("catchline"))
     b = table(spark, d, "zones").where("zone = 'operative'").groupBy(F.col("section_id").alias("id")).agg(F.max("body").alias("body"))
     e = table(spark, d, "edge").where("src is not null and target is not null").select(I.proper_section(F.col("src")).alias("id"), F.col("target").alias("other"))
-    none = e.where("false")
-    return K.section_pages(s.join(b, "id", "left"), e, none).select("path", F.length("content").alias("chars"))
+    back = section_edges(spark, d).where("src is not null and dst is not null").select(F.col("dst").alias("id"), F.col("src").alias("other"))
+    return K.section_pages(s.join(b, "id", "left"), e, back).select("path", F.length("content").alias("chars"))
 
 
 _CK = " UNION ALL ".join(f"SELECT '{n}' AS name, CAST(({q}) AS BIGINT) AS value, '{op}' AS op, CAST({e} AS BIGINT) AS expected, coalesce(CAST(({q}) AS BIGINT) {op} {e}, false) AS passed" for n, q, op, e in CHECKS).replace("v_", "")
@@ -98,11 +118,18 @@ SQL = {
     "checks": _CK,
     "kept_and_problems": "SELECT count(*) AS rows_in, count(*) FILTER (text IS NOT NULL AND trim(text) <> '') AS rows_out, count(*) FILTER (text IS NULL OR trim(text) = '') AS problems, true AS conserved FROM documents",
     "contents_against_body": "WITH u AS (SELECT DISTINCT layer, num AS id FROM units WHERE kind = 'chapter'), s AS (SELECT DISTINCT layer, chapter AS id FROM sections) SELECT layer, id, 'not_in_body' AS problem FROM (FROM u EXCEPT FROM s) UNION ALL SELECT layer, id, 'not_in_toc' FROM (FROM s EXCEPT FROM u)",
-    "rebuild_regression": "WITH e AS (SELECT trim(target, ' ') AS target, 'usc:' || regexp_extract(raw, '([0-9]+)\\s+U\\.S\\.C\\.\\s*§*\\s*([0-9]+)', 1) || ':' || regexp_extract(raw, '([0-9]+)\\s+U\\.S\\.C\\.\\s*§*\\s*([0-9]+)', 2) AS again FROM edge WHERE kind = 'usc' AND raw IS NOT NULL AND target IS NOT NULL) SELECT side, count(*) AS n FROM (SELECT 'old' AS side FROM e WHERE target <> again UNION ALL SELECT 'new' FROM e WHERE target <> again) GROUP BY side",
+    "rebuild_regression": """WITH e AS (SELECT kind, trim(target, ' ') AS target, regexp_extract(raw, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9]+)', 1) AS a, regexp_extract(raw, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9]+)', 3) AS b FROM edge WHERE kind IN ('usc', 'cfr') AND raw IS NOT NULL AND target IS NOT NULL),
+ x AS (SELECT *, CASE WHEN a <> '' THEN kind || ':' || a || ':' || b END AS again FROM e)
+ SELECT kind, count(*) AS stored, count(again) AS read, count(*) FILTER (again IS NULL OR again <> target) AS only_stored, count(*) FILTER (again <> target) AS only_read FROM x GROUP BY kind""",
     "upsert_units": "WITH u AS (SELECT DISTINCT id, title, url FROM units), a AS (SELECT id, title, url, 0 AS n FROM u UNION ALL SELECT id, 'retitled', 'none', 1 FROM u WHERE url IS NULL) SELECT id, title, url FROM a QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, title DESC NULLS LAST) = 1",
     "missing_notes": "WITH s AS (SELECT DISTINCT id FROM sections WHERE layer = 'har' AND repealed = 0) SELECT 'zones' AS origin, 'missing_' || k AS kind, count(*) AS n FROM s CROSS JOIN (VALUES ('auth'), ('imp')) v(k) WHERE NOT EXISTS (SELECT 1 FROM zones z WHERE z.section_id = s.id AND z.zone = k) GROUP BY k",
-    "rule_text_round_trip": "SELECT section_id FROM zones WHERE false",
-    "citation_pages": None,
+    "rule_text_round_trip": None,
+    "citation_pages": f"""WITH {GRAPH}, s AS (SELECT id, max(catchline) AS catchline FROM sections GROUP BY id), b AS (SELECT section_id, max(body) AS body FROM zones WHERE zone = 'operative' GROUP BY 1),
+ n AS (SELECT src, target, {NUM.format(c="src")} AS num FROM edge WHERE src IS NOT NULL AND target IS NOT NULL),
+ o AS (SELECT id, sum(length(other) + 6) + count(*) - 1 + 9 AS chars FROM (SELECT DISTINCT {LAYER.format(c="src", n="num")} || ':' || num AS id, target AS other FROM n) GROUP BY id),
+ i AS (SELECT dst AS id, sum(length(src) + 6) + count(*) - 1 + 12 AS chars FROM (SELECT DISTINCT dst, src FROM g WHERE src IS NOT NULL AND dst IS NOT NULL) GROUP BY dst)
+ SELECT regexp_replace(lower(s.id), '[^0-9a-z.-]', '-', 'g') || '.md' AS path, CAST(length(s.id) + length(coalesce(catchline, '')) + 3 + 2 + length('<!-- curated -->') + 2 + length('<!-- /curated -->') + coalesce(length(body) + 2, 0) + coalesce(o.chars + 2, 0) + coalesce(i.chars + 2, 0) AS BIGINT) AS chars
+ FROM s LEFT JOIN b ON b.section_id = s.id LEFT JOIN o ON o.id = s.id LEFT JOIN i ON i.id = s.id""",
 }
 QUERIES = {k: globals()[k] for k in SQL}
 SQL = {k: v for k, v in SQL.items() if v}

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids as I
+from lexloom.functions import text as X
 from lexloom.operators import graph as G
 from lexloom.operators import relations as R
 from lexloom.plans.graph import section_edges
@@ -187,6 +188,14 @@ def list_members(spark, d):
     return R.expand_lists(table(spark, d, "edge").where("kind = 'har_section'"), "edge_id", "raw")
 
 
+def range_repeals(spark, d):
+    """Catchlines of ranges repealed as a whole, planted on the repealed statutes (`to 12 REPEALED.` at 7-9): the catchline in full and the numbers covered that have no section of their own."""
+    s = table(spark, d, "sections").where("layer = 'hrs'").select("num", "repealed").distinct().withColumn("n", F.regexp_extract("num", r"-(\d+)$", 1).try_cast("int")).where("n is not null")
+    r = s.where("repealed = 1").select("num", "n", F.concat(F.lit("to "), (F.col("n") + 3).cast("string"), F.lit(" REPEALED.")).alias("catchline"))
+    r = r.select("num", X.repealed_range(F.col("catchline"), F.col("num")).alias("catchline"))
+    return R.covered(r, "num", "catchline").join(s.select(F.col("num").alias("member")), "member", "left_anti").select("num", "catchline", "member")
+
+
 def repealed_ranges(spark, d):
     """Numbers between two neighbouring repealed sections of a chapter that have no section of their own."""
     s = table(spark, d, "sections").where("layer = 'hrs'").select("chapter", "num", "repealed").distinct().withColumn("n", F.regexp_extract("num", r"-(\d+)$", 1).try_cast("int")).where("n is not null")
@@ -197,6 +206,17 @@ def repealed_ranges(spark, d):
     return out.join(s.select("num"), "num", "left_anti").select("chapter", "num")
 
 
+def crosswalk_totals(spark, d):
+    """Per attestation its edges, and the different sources, targets and acts."""
+    e = table(spark, d, "edges")
+    return e.groupBy("attestation").agg(F.count(F.lit(1)).alias("edges"), F.count_distinct("src").alias("sources"), F.count_distinct("dst").alias("targets"), F.count_distinct(F.when((F.col("dst_kind") == "session_law") | F.col("dst").startswith("slh:"), F.col("dst"))).alias("acts"))
+
+
+def subpart_sizes(spark, d):
+    """Sections by part and subpart, of the parts whose name begins alike."""
+    return table(spark, d, "sections").where(F.col("unit_path").like("Part I%")).groupBy("unit_path").agg(F.count_distinct("id").alias("sections"))
+
+
 def find_words(spark, d):
     return R.search(table(spark, d, "zones"), ["section_id", "zone"], "body", "reasonable pasture")
 
@@ -220,9 +240,13 @@ def implemented_by(spark, d):
 
 
 def double_amendments(spark, d):
-    """Sections amended by several acts of one year."""
-    z = table(spark, d, "zones").where("zone = 'history'").select("section_id", F.explode(F.regexp_extract_all("body", F.lit(r"L \d{4}, c \d+"), F.lit(0))).alias("l")).distinct()
-    return z.groupBy("section_id", F.substring("l", 3, 4).alias("year")).agg(F.count(F.lit(1)).alias("acts")).where("acts > 1")
+    """Sections amended by several acts of one year, by their history notes and by the acts that they cite."""
+    z = table(spark, d, "zones").where("zone = 'history'").select("section_id", F.explode(F.regexp_extract_all("body", F.lit(r"L \d{4}, c \d+"), F.lit(0))).alias("l"))
+    z = z.select("section_id", F.substring("l", 3, 4).alias("year"), F.regexp_extract("l", r"c (\d+)", 1).alias("act"))
+    law = r"^slh:(\d{4}):(\d+)"
+    e = table(spark, d, "edge").where("kind = 'session_law' and src is not null").where(F.col("target").rlike(law))
+    e = e.select(I.proper_section(F.col("src")).alias("section_id"), F.regexp_extract("target", law, 1).alias("year"), F.regexp_extract("target", law, 2).alias("act"))
+    return z.unionByName(e).distinct().groupBy("section_id", "year").agg(F.count(F.lit(1)).alias("acts")).where("acts > 1")
 
 
 def repealed_targets(spark, d):
@@ -318,7 +342,15 @@ SQL = {
     "token_counts": "WITH t AS (SELECT section_id, zone, unnest(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+')) AS token FROM (SELECT DISTINCT * FROM zones)), c AS (SELECT section_id, zone, token, count(*) AS n FROM t WHERE token <> '' GROUP BY ALL) SELECT token, count(*) AS texts, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY token HAVING count(*) > 20",
     "short_documents": "WITH x AS (SELECT source, coalesce(length(text), 0) < 700 AS bad FROM documents), g AS (SELECT source, count(*) FILTER (bad) > greatest(2.0, count(*) * 0.30) AS q FROM x GROUP BY source) SELECT x.source, g.q AS quarantined, count(*) AS n FROM x JOIN g ON x.source IS NOT DISTINCT FROM g.source GROUP BY x.source, g.q",
     "implemented_by": f"WITH {ATT} SELECT dst AS statute, count(DISTINCT CASE WHEN relation = 'implements' THEN src END) AS implementing, count(DISTINCT CASE WHEN relation = 'authorized_by' THEN src END) AS authorized FROM e WHERE relation IN ('implements', 'authorized_by') GROUP BY dst",
-    "double_amendments": "WITH z AS (SELECT DISTINCT section_id, unnest(regexp_extract_all(body, 'L [0-9]{4}, c [0-9]+')) AS l FROM zones WHERE zone = 'history') SELECT section_id, substr(l, 3, 4) AS year, count(*) AS acts FROM z GROUP BY 1, 2 HAVING count(*) > 1",
+    "double_amendments": f"""WITH h AS (SELECT section_id, unnest(regexp_extract_all(body, 'L [0-9]{{4}}, c [0-9]+')) AS l FROM zones WHERE zone = 'history'),
+ n AS (SELECT target, src, {_NUM_SRC} AS num FROM edge WHERE kind = 'session_law' AND src IS NOT NULL AND regexp_matches(target, '^slh:[0-9]{{4}}:[0-9]+')),
+ z AS (SELECT section_id, substr(l, 3, 4) AS year, regexp_extract(l, 'c ([0-9]+)', 1) AS act FROM h UNION SELECT {_LAYER_SRC} || ':' || num, split_part(target, ':', 2), regexp_extract(target, '^slh:[0-9]+:([0-9]+)', 1) FROM n)
+ SELECT section_id, year, count(*) AS acts FROM z GROUP BY 1, 2 HAVING count(*) > 1""",
+    "range_repeals": """WITH s AS (SELECT DISTINCT num, repealed, TRY_CAST(regexp_extract(num, '-([0-9]+)$', 1) AS INT) AS n FROM sections WHERE layer = 'hrs'),
+ r AS (SELECT DISTINCT num, n, regexp_replace(num, '-[^-]*$', '-') AS lead FROM s WHERE n IS NOT NULL AND repealed = 1), x AS (SELECT *, unnest(generate_series(n + 1, n + 3)) AS k FROM r)
+ SELECT num, 'REPEALED (§§' || num || ' to ' || lead || (n + 3) || ')' AS catchline, lead || k AS member FROM x WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.n IS NOT NULL AND s.num = x.lead || x.k)""",
+    "crosswalk_totals": "SELECT attestation, count(*) AS edges, count(DISTINCT src) AS sources, count(DISTINCT dst) AS targets, count(DISTINCT CASE WHEN dst_kind = 'session_law' OR dst LIKE 'slh:%' THEN dst END) AS acts FROM edges GROUP BY attestation",
+    "subpart_sizes": "SELECT unit_path, count(DISTINCT id) AS sections FROM sections WHERE unit_path LIKE 'Part I%' GROUP BY unit_path",
     "repealed_targets": f"WITH {GRAPH}, s AS (SELECT id FROM sections GROUP BY id HAVING max(repealed) = 1) SELECT dst, count(*) AS citations, count(DISTINCT src) AS sources FROM g WHERE zone = 'operative' AND dst IN (SELECT id FROM s) GROUP BY dst",
     "unit_children": "WITH u AS (SELECT DISTINCT id, kind, parent FROM units) SELECT t.id, (SELECT count(*) FROM u c WHERE c.parent = t.id) AS children FROM u t WHERE kind = 'title'",
     "drift": "WITH u AS (SELECT DISTINCT layer, num, TRY_CAST(json_extract_string(TRY_CAST(nullif(extra, '') AS JSON), '$.sections') AS INT) AS printed FROM units WHERE kind = 'chapter'), s AS (SELECT layer, chapter AS num, count(DISTINCT id) AS held FROM sections GROUP BY 1, 2) SELECT layer, num, printed, held FROM u JOIN s USING (layer, num) WHERE printed IS NOT NULL AND printed <> held",
