@@ -9,7 +9,8 @@ from lexloom.functions import ids as I
 from lexloom.functions import text as X
 from lexloom.operators import cite as C
 from lexloom.operators import define as D
-from lexloom.plans.sqlparts import LAYER, NUM
+from lexloom.plans.graph import section_edges
+from lexloom.plans.sqlparts import GRAPH, LAYER, NUM
 from lexloom.sources.tables import table
 
 
@@ -78,9 +79,35 @@ def case_runs(spark, d):
 
 
 def citation_sweep(spark, d):
-    """Tokens of section citations found again by a pattern of their own that the extractor missed: none expected."""
-    z = _operative(spark, d)
-    return C.missed_tokens(z.select("section_id", F.regexp_replace("body", r"(?i)(?<![A-Za-z])section\s+(?=\d)", "section ").alias("body")), ["section_id"], "body", C.extract(z, ["section_id"], "body", "statute").withColumn("target", F.concat(F.lit("section "), "target")), r"section \d+[A-Z]?-\d+(?:\.\d+)?")
+    """Tokens of section citations in operative texts, found by a pattern of their own, that the edge table has no citation of that section for."""
+    z = _operative(spark, d).select("section_id", F.regexp_replace("body", r"(?i)(?<![A-Za-z])section\s+(?=\d)", "section ").alias("body"))
+    have = section_edges(spark, d).select(F.col("src").alias("section_id"), F.concat(F.lit("section "), F.regexp_extract("dst", r"^hrs:(.*)$", 1)).alias("target"))
+    return C.missed_tokens(z, ["section_id"], "body", have, r"section \d+[A-Z]?-\d+(?:\.\d+)?")
+
+
+def raw_citations(spark, d):
+    """Chapters and federal citations as printed, read by the extractor: per target."""
+    e = table(spark, d, "edge").where("kind in ('hrs_chapter', 'usc', 'cfr')").select("edge_id", "raw")
+    return C.extract(e, ["edge_id"], "raw", "statute").groupBy("kind", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
+def authority_notes(spark, d):
+    """What the authority notes cite, and how many of them leave a digit unread."""
+    z = table(spark, d, "zones").where("zone in ('auth', 'imp')").select("section_id", "zone", "body").distinct()
+    return C.note_citations(z, ["section_id", "zone"], "body").groupBy("zone", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.when(F.col("kind") != "leftover", F.col("target"))).alias("targets"))
+
+
+def case_paragraphs(spark, d):
+    """Cases held about sections, read from editorial notes: planted citations at the end of each note, a run of parallel ones and one of another paragraph."""
+    z = table(spark, d, "zones").where("zone = 'annotation' and body is not null").select("section_id", F.concat("body", F.lit("\n\nHeld in 12 H. 34,\n56 P.3d 78 (2001).\n\n9 L. Ed. 2d 7"))).toDF("section_id", "body").distinct()
+    return C.case_notes(z, ["section_id"], "body").where("target in ('case:12-H-34', 'case:9-LEd2d-7')").select("section_id", "target", "raw", "context")
+
+
+def healed_notes(spark, d):
+    """Authority notes with misread digits, planted, mended where the table attests the citation: how many of each kind of repair."""
+    z = table(spark, d, "zones").where("zone = 'auth'").where(F.col("body").rlike(r"^\d*1\d*-\d+$")).select("section_id", "body").distinct()
+    notes = z.select("section_id", F.concat(F.lit("(Auth: HRS §"), F.regexp_replace("body", r"^(\d*?)1", "$1l"), F.lit(")")).alias("note"))
+    return C.heal_notes(notes, "section_id", "note", z.withColumnRenamed("body", "target")).select("section_id", "note", F.size("repairs").alias("repairs"))
 
 
 def _defined(spark, d):
@@ -118,16 +145,40 @@ def definition_at(spark, d):
     return r.groupBy("term_norm").agg(F.count_if("controls").alias("places"), F.count_if(~F.col("controls")).alias("shadowed"))
 
 
+def definition_levels(spark, d):
+    """Which definitions govern at each section, over all five scopes: every section defines the first word of its catchline, with a scope by the length of its id."""
+    s = table(spark, d, "sections").groupBy("id").agg(F.max("layer").alias("layer"), F.max("chapter").alias("num"), F.max("unit_path").alias("path"), F.max("catchline").alias("catchline"))
+    titles = table(spark, d, "units").where("kind = 'chapter'").groupBy("layer", "num").agg(F.max("parent").alias("title"))
+    part, sub = F.regexp_extract("path", r"^(Part [IVXL]+)", 1), F.regexp_extract("path", r"› ([A-Z]\. .*)$", 1)
+    x = s.join(titles, ["layer", "num"], "left").select(F.col("id").alias("section"), F.concat_ws(":", "layer", "num").alias("chapter"), part.alias("part"), sub.alias("subpart"), "title", "catchline")
+    scope = F.element_at(F.array(*[F.lit(k) for k in D.SCOPES[:5]]), F.length("section") % 5 + 1)
+    place = [F.col(c) for c in ("section", "chapter", "part", "subpart", "title")]
+    defs = x.select(F.nullif(F.lower(F.regexp_extract("catchline", r"^([A-Za-z]+)", 1)), F.lit("")).alias("term_norm"), D.scope_key(scope, *place).alias("scope_key"), F.col("section").alias("seq")).where("scope_key is not null")
+    return D.resolve(x, defs).groupBy("section").agg(F.count_if("controls").alias("controls"), F.count_if(~F.col("controls")).alias("shadowed"), F.min(F.when(F.col("controls"), F.col("seq"))).alias("first"))
+
+
+def definition_listing(spark, d):
+    """Terms that several documents define, with their definitions in order: the narrowest scope first, then by document."""
+    defs = _defined(spark, d)[1]
+    many = defs.groupBy("term_norm").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rank = F.array_position(F.array(*[F.lit(k) for k in D.SCOPES]), F.col("scope"))
+    w = Window.partitionBy("term_norm").orderBy(rank, "section")
+    return defs.join(many, "term_norm").select("term_norm", F.row_number().over(w).alias("pos"), "section")
+
+
 def html_text(spark, d):
-    """Documents wrapped in markup come out as they went in: rows that differ, none expected."""
-    x = table(spark, d, "documents").where("text is not null").select("doc_id", X.strip_html(F.col("text")).alias("plain"), F.concat(F.lit("<html><style>p{a:'</p>'}</style><body><p>"), F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p></body></html>")).alias("html"))
-    return x.where(X.strip_html(F.col("html")) != F.col("plain")).select("doc_id")
+    """Documents wrapped in markup, with their marks as entities, as text again: a fingerprint of each."""
+    mark = lambda c, a, b: F.replace(c, F.lit(a), F.lit(b))
+    body = mark(mark(mark(mark(F.col("text"), "&", "&amp;"), "<", "&lt;"), "§", "&sect;"), "’", "&#8217;")
+    page = F.concat(F.lit("<html><style>p{a:'</p>'}</style><script>x<y</script><body><p>"), body, F.lit("</p><td>a</td>b<br/>c</body></html>"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.md5(X.strip_html(page)).alias("print"))
 
 
 def duplicate_texts(spark, d):
-    """Documents with a text seen before: the first one of each text is kept."""
-    w = Window.partitionBy(F.md5("text")).orderBy("doc_id")
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.row_number().over(w).alias("r")).where("r > 1").select("doc_id")
+    """Documents with a text seen before: the first one of each text is kept. Copies meet in a partial aggregate alone."""
+    x = table(spark, d, "documents").where("text is not null").select("doc_id", F.md5("text").alias("m"))
+    first = x.groupBy("m").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("m", "first")
+    return x.join(first, "m").where("doc_id <> first").select("doc_id")
 
 
 def page_tag_counts(spark, d):
@@ -171,19 +222,48 @@ SQL = {
     "acts_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'session_law' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS acts, max(regexp_extract(target, '^slh:([0-9]+):', 1)) AS last_year FROM n GROUP BY 1",
     "cases_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'case' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS cases, min(target) AS first_case FROM n GROUP BY 1",
     "citers_by_kind": "SELECT kind, count(*) AS citations, count(DISTINCT src) AS sources, count(*) FILTER (zone = 'operative') AS operative, count(*) FILTER (zone IS NULL) AS no_zone FROM edge GROUP BY kind",
-    "key_kinds": None,
-    "name_spaces": None,
+    "key_kinds": """WITH k AS (SELECT trim(regexp_replace(raw, '^(?i)(HRS|HAR|§|section|sec\\.|[ \\t\\n\\r\\f\\v])+', ''), ' ') AS k FROM edge), v AS (SELECT k, trim(regexp_replace(k, '\\[R\\]', '', 'g'), ' ') AS v FROM k),
+ b AS (SELECT k, v, upper(regexp_replace(v, '\\(.*$', '')) AS b FROM v), n AS (SELECT k, v, CASE WHEN regexp_matches(b, '^[0-9]{1,3}[A-Z][0-9]+(\\.[0-9]+)?$') THEN regexp_replace(b, '^([0-9]{1,3}[A-Z])([0-9])', '\\1-\\2') ELSE b END AS n FROM b)
+ SELECT CASE WHEN k IS NULL OR k = '' THEN 'skip' WHEN regexp_matches(v, '(?i)^(ch\\.?|chapter)\\s+([0-9]+[A-Z]?),?\\s+(pt\\.?|part)\\s+([IVXL]+)$') THEN 'hrs_chapter_part' WHEN regexp_matches(v, '(?i)^(ch\\.?|chapter)\\s+([0-9]+[A-Z]?)$') THEN 'hrs_chapter'
+ WHEN regexp_matches(v, '(?i)^[0-9]+\\s+U\\.?S\\.?C\\.?\\s*§*\\s*[0-9]') THEN 'usc' WHEN regexp_matches(n, '^[0-9]+[A-Z]?:[0-9]+[A-Z]?-[0-9]+(\\.[0-9]+)?$') THEN 'hrs_section_colon' WHEN regexp_matches(n, '^[0-9]+[A-Z]?-[0-9]+(\\.[0-9]+)?$') THEN 'hrs_section'
+ WHEN regexp_matches(n, '^[0-9]+-[0-9]+[A-Z]?-[0-9]+(\\.[0-9]+)?$') THEN 'har_section' ELSE 'prose' END AS kind, count(*) AS n FROM n GROUP BY 1""",
+    "name_spaces": "SELECT kind, CASE kind WHEN 'hrs_section' THEN 'hrs' WHEN 'har_section' THEN 'har' WHEN 'hrs_chapter' THEN 'hrs:ch' ELSE regexp_extract(regexp_replace(target, '[\\p{Cf}\\p{Z}\\s§]+', '', 'g'), '^([a-z]+(:ch)?):', 1) END AS space, count(*) AS n FROM edge WHERE target IS NOT NULL GROUP BY 1, 2",
     "pin_cites": "SELECT edge_id, regexp_extract(raw, '(\\(.*\\))\\s*$', 1) AS pin FROM edge WHERE kind IN ('hrs_section', 'har_section') AND regexp_extract(raw, '(\\(.*\\))\\s*$', 1) <> ''",
     "citations": "WITH z AS (SELECT DISTINCT section_id, translate(body, '‐‑‒–—―−', '-------') AS body FROM zones WHERE zone = 'operative'), t AS (SELECT section_id, unnest(regexp_extract_all(body, '(?i)(?:\\bsections?\\s+|§)(\\p{Nd}+[A-Z]?-\\p{Nd}+(?:\\.\\p{Nd}+)?)', 1)) AS t FROM z) SELECT upper(t) AS target, count(*) AS n, count(DISTINCT section_id) AS sections FROM t GROUP BY 1",
-    "citation_kinds": None,
+    "citation_kinds": """WITH t AS (SELECT translate(text, '‐‑‒–—―−', '-------') AS t, text FROM documents),
+ c AS (SELECT 'hrs_section' AS kind, sum(len(regexp_extract_all(t, '(?i)(?:\\bsections?[\\s\\p{Z}]+|§[\\s\\p{Z}]*)(?:\\p{Nd}{3}[A-Z]?:)?(\\p{Nd}+[A-Z]?-\\p{Nd}+(?:\\.\\p{Nd}+)?)'))) AS n FROM t UNION ALL SELECT 'case', sum(len(regexp_extract_all(text, '\\b[0-9]{1,4}\\s+H\\.\\s+[0-9]{1,5}'))) FROM t)
+ SELECT kind, CAST(n AS BIGINT) AS n FROM c WHERE n > 0""",
+    "raw_citations": """WITH t AS (SELECT translate(raw, '‐‑‒–—―−', '-------') AS t FROM edge WHERE kind IN ('hrs_chapter', 'usc', 'cfr')),
+ c AS (SELECT 'hrs_chapter' AS kind, 'ch:' || upper(regexp_extract(t, '(?i)\\bchapters?\\s+([0-9]+[A-Z]?)\\b', 1)) AS target FROM t WHERE regexp_matches(t, '(?i)\\bchapters?\\s+[0-9]+[A-Z]?\\b')
+ UNION ALL SELECT CASE WHEN regexp_matches(t, 'U\\.S') THEN 'usc' ELSE 'cfr' END, CASE WHEN regexp_matches(t, 'U\\.S') THEN 'usc:' ELSE 'cfr:' END || regexp_extract(t, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9][\\w-]*)', 1) || ':' || regexp_extract(t, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9][\\w-]*)', 3) FROM t WHERE regexp_matches(t, '[0-9]+\\s+[UC]\\.[SF]\\.[CR]\\.'))
+ SELECT kind, target, count(*) AS n FROM c GROUP BY 1, 2""",
+    "authority_notes": """WITH z AS (SELECT DISTINCT section_id, zone, translate(body, '‐‑‒–—―−', '-------') AS t FROM zones WHERE zone IN ('auth', 'imp')),
+ p AS (SELECT '(?i)[0-9]+\\s+U\\.?\\s?S\\.?\\s?C\\.?\\s*§*\\s*[0-9][\\w-]*|[0-9]+\\s+C\\.?\\s?F\\.?\\s?R\\.?\\s*(?:part|§)*\\s*[0-9][\\w-]*|P(?:ub)?\\.\\s?L\\.\\s*(?:No\\.\\s*)?[0-9]+-[0-9]+|\\b[0-9]+-[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|[0-9]{3}[A-Z]?:[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|(?:chapters?|ch\\.)\\s*[0-9]+[A-Z]?' AS p),
+ u AS (SELECT zone, unnest(regexp_extract_all(t, p)) AS v FROM z, p),
+ k AS (SELECT zone, CASE WHEN regexp_matches(v, '(?i)U\\.?\\s?S') THEN 'usc' WHEN regexp_matches(v, '(?i)C\\.?\\s?F') THEN 'cfr' WHEN regexp_matches(v, '(?i)^P') THEN 'public_law' WHEN regexp_matches(v, '(?i)^[0-9]+-[0-9]+[A-Z]?-[0-9]') THEN 'har_section' WHEN regexp_matches(v, '(?i)^ch') THEN 'hrs_chapter' ELSE 'hrs_section' END AS kind, upper(v) AS target FROM u
+ UNION ALL SELECT zone, 'leftover', NULL FROM z, p WHERE regexp_matches(regexp_replace(regexp_replace(t, p, ' ', 'g'), '\\([a-z0-9]{1,4}\\)', '', 'g'), '[0-9]'))
+ SELECT zone, kind, count(*) AS n, count(DISTINCT target) AS targets FROM k GROUP BY 1, 2""",
+    "case_paragraphs": """WITH z AS (SELECT DISTINCT section_id FROM zones WHERE zone = 'annotation' AND body IS NOT NULL), n AS (SELECT section_id, count(DISTINCT body) AS n FROM zones WHERE zone = 'annotation' AND body IS NOT NULL GROUP BY 1)
+ SELECT section_id, v.target, v.raw, v.context FROM n, generate_series(1, n) g, (VALUES ('case:12-H-34', '12 H. 34, 56 P.3d 78 (2001)', 'Held in 12 H. 34, 56 P.3d 78 (2001).'), ('case:9-LEd2d-7', '9 L. Ed. 2d 7', '9 L. Ed. 2d 7')) v(target, raw, context)""",
+    "healed_notes": "SELECT DISTINCT section_id, '(Auth: HRS §' || body || ')' AS note, 1 AS repairs FROM zones WHERE zone = 'auth' AND regexp_matches(body, '^[0-9]*1[0-9]*-[0-9]+$')",
     "case_runs": "SELECT edge_id, 'case:' || regexp_extract(raw, '([0-9]+) H\\. ([0-9]+)', 1) || '-H-' || regexp_extract(raw, '([0-9]+) H\\. ([0-9]+)', 2) AS target FROM edge WHERE kind = 'case' AND regexp_matches(raw, '[0-9]+ H\\. [0-9]+')",
-    "citation_sweep": "SELECT section_id, '' AS target FROM zones WHERE false",
-    "definition_scopes": None,
+    "citation_sweep": f"""WITH {GRAPH}, z AS (SELECT DISTINCT section_id, translate(body, '‐‑‒–—―−', '-------') AS body FROM zones WHERE zone = 'operative'), t AS (SELECT DISTINCT section_id, 'section ' || unnest(regexp_extract_all(body, '(?:^|[^A-Za-z])(?i:section)\\s+([0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?)', 1)) AS target FROM z)
+ SELECT section_id, target FROM t WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.src = t.section_id AND 'section ' || regexp_extract(g.dst, '^hrs:(.*)$', 1) = t.target)""",
+    "definition_scopes": f"WITH t AS (SELECT DISTINCT doc_id, lower(unnest({_DEF})) AS term FROM documents) SELECT 'chapter' AS scope, count(*) AS n, count(DISTINCT term) AS terms FROM t",
+    "definition_listing": f"WITH t AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS section, lower(unnest({_DEF})) AS term_norm FROM documents) SELECT term_norm, row_number() OVER (PARTITION BY term_norm ORDER BY section) AS pos, section FROM t QUALIFY count(*) OVER (PARTITION BY term_norm) > 1",
+    "definition_levels": """WITH s AS (SELECT id, max(layer) AS layer, max(chapter) AS num, max(unit_path) AS path, max(catchline) AS catchline FROM sections GROUP BY id), u AS (SELECT layer, num, max(parent) AS title FROM units WHERE kind = 'chapter' GROUP BY 1, 2),
+ x AS (SELECT s.id, s.layer || ':' || s.num AS chapter, nullif(regexp_extract(path, '^(Part [IVXL]+)', 1), '') AS part, nullif(regexp_extract(path, '› ([A-Z]\\. .*)$', 1), '') AS sub, title, nullif(lower(regexp_extract(catchline, '^([A-Za-z]+)', 1)), '') AS term, length(s.id) % 5 AS level FROM s LEFT JOIN u ON u.layer = s.layer AND u.num = s.num),
+ k AS (SELECT *, 'sec:' || id AS k0, 'ch:' || chapter || ':' || part || ':' || sub AS k1, 'ch:' || chapter || ':' || part AS k2, 'ch:' || chapter AS k3, 'title:' || title AS k4 FROM x),
+ d AS (SELECT id AS seq, term, CASE level WHEN 0 THEN k0 WHEN 1 THEN k1 WHEN 2 THEN k2 WHEN 3 THEN k3 ELSE k4 END AS key FROM k WHERE term IS NOT NULL),
+ c AS (SELECT id, 0 AS depth, k0 AS key FROM k UNION ALL SELECT id, 1, k1 FROM k UNION ALL SELECT id, 2, k2 FROM k UNION ALL SELECT id, 3, k3 FROM k UNION ALL SELECT id, 4, k4 FROM k),
+ r AS (SELECT c.id, d.seq, row_number() OVER (PARTITION BY c.id, d.term ORDER BY c.depth, d.seq) AS r FROM c JOIN d ON d.key = c.key)
+ SELECT id AS section, count(*) FILTER (r = 1) AS controls, count(*) FILTER (r > 1) AS shadowed, min(seq) FILTER (r = 1) AS first FROM r GROUP BY id""",
     "definition_collisions": f"WITH t AS (SELECT DISTINCT doc_id, unit_id, unnest({_DEF}) AS term FROM documents) SELECT lower(term) AS term_norm, count(DISTINCT 'ch:' || coalesce(unit_id, '')) AS scopes FROM t GROUP BY 1 HAVING count(DISTINCT 'ch:' || coalesce(unit_id, '')) > 1",
     "definition_at": f"""WITH t AS (SELECT DISTINCT doc_id, coalesce(unit_id, '') AS unit, lower(unnest({_DEF})) AS term FROM documents), p AS (SELECT DISTINCT unit_id FROM documents WHERE unit_id <> ''),
  j AS (SELECT t.term, row_number() OVER (PARTITION BY p.unit_id, t.term ORDER BY t.doc_id) AS r FROM p JOIN t ON t.unit = p.unit_id)
  SELECT term AS term_norm, count(*) FILTER (r = 1) AS places, count(*) FILTER (r > 1) AS shadowed FROM j GROUP BY term""",
-    "html_text": "SELECT doc_id FROM documents WHERE false",
+    "html_text": """WITH a AS (SELECT doc_id, regexp_replace(translate(text || chr(10) || 'a b' || chr(10) || 'c', chr(160) || chr(65279), ' '), '[ \\t]+', ' ', 'g') AS t FROM documents WHERE text IS NOT NULL)
+ SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(t, '(?m)^ +| +$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^[ \\t\\n\\v\\f\\r]+|[ \\t\\n\\v\\f\\r]+$', '', 'g')) AS print FROM a""",
     "duplicate_texts": "SELECT doc_id FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1",
 }
 QUERIES = {k: globals()[k] for k in SQL}
