@@ -224,7 +224,7 @@ def differing_hashes(hashes: DataFrame, buckets: int) -> DataFrame:
     return x.mapInArrow(run, "side int, hash bigint")
 
 
-def reconcile(rows: DataFrame, side: str, key: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), bucket_rows: int = 64, buckets: int | None = None) -> DataFrame:
+def reconcile(rows: DataFrame, side: str, key: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), bucket_rows: int = 32, buckets: int | None = None) -> DataFrame:
     """Rows of either copy that the other lacks, and fields that differ: the key columns and `finding`.
 
     rows: both copies, told apart by the column `side`, whose values are the two names; rows of other sides are ignored. finding is `only_<name>` for

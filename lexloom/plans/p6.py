@@ -25,7 +25,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     both = rows.groupBy("src").agg(F.min("attestation").alias("a"), F.max("attestation").alias("b")).where("a <> b").select("src")
     rows = durable(rows.join(both, "src", "left_semi"))
     # The number of buckets follows the rows read, an upper bound of the pairs, known from the files' footers.
-    return reconcile(rows, "attestation", ["src", "dst"], ["relation", "dst_kind"], NAMES, buckets=max(1, math.ceil(table(spark, d, "edges").count() / 128)))
+    return reconcile(rows, "attestation", ["src", "dst"], ["relation", "dst_kind"], NAMES, buckets=max(1, math.ceil(table(spark, d, "edges").count() / 64)))
 
 
 _SQUEEZED = "regexp_replace(regexp_replace(translate({c}, '‐‑‒–—―−﹘﹣－', '----------'), '[\\p{{Cf}}\\p{{Z}}\\s§]+', '', 'g'), '^(?i)(sections?|secs?\\.)', '')"
