@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexloom.plans import graph, p2, p5, p6, quality, relations, text
+from lexloom.plans import graph, p2, p5, p6, quality, relations, sources, text
 
-MODULES = [p2, p5, p6, graph, relations, text, quality]
+MODULES = [p2, p5, p6, graph, relations, text, quality, sources]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

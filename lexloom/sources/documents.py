@@ -4,6 +4,11 @@ Fetching is outside of the engine: files land on disk, and these readers start f
 
 from __future__ import annotations
 
+import importlib
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +16,12 @@ from pyspark.sql import functions as F
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """Provenance-headed documents: path, meta (map), body. The header stands between two `---` lines, one `key: value` each (cut at the first colon,
     quotes trimmed); a comment behind it is dropped. A file without a header has an empty map."""
-    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.regexp_replace("value", "^﻿", "").alias("v"))
+    return parse_raw(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value"))
+
+
+def parse_raw(texts: DataFrame) -> DataFrame:
+    """read_raw for texts that are at hand: path, value."""
+    t = texts.select("path", F.regexp_replace("value", "^﻿", "").alias("v"))
     head = F.regexp_extract("v", r"(?s)^---\r?\n(.*?)\r?\n---\r?\n", 1)
     lines = F.filter(F.split(head, r"\r?\n"), lambda x: x.contains(":"))
     entry = lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_replace(x, r"^[^:]*:", "")), r"^[\"']|[\"']$", "").alias("value"))
@@ -22,7 +32,12 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """JSON files, tolerant of a byte order mark and of text around the outermost braces: parsed rows (path, r), and the paths that can't be read."""
-    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.regexp_replace("value", "^﻿", "").alias("v"))
+    return parse_json(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value"), schema)
+
+
+def parse_json(texts: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """read_json for texts that are at hand: path, value."""
+    t = texts.select("path", F.regexp_replace("value", "^﻿", "").alias("v"))
     whole = F.coalesce(F.nullif(F.regexp_extract("v", r"(?s)\{.*\}", 0), F.lit("")), F.col("v"))
     x = t.select("path", F.from_json(whole, schema + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
     ok = F.col("r").isNotNull() & F.col("r._bad").isNull()
@@ -31,10 +46,37 @@ def read_json(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, D
 
 def read_manifest(spark: SparkSession, path: str, item: str, field: str = "sections") -> DataFrame:
     """The list of file records in a manifest, one row each."""
-    t = spark.read.text(path, wholetext=True).select(F.from_json(F.regexp_replace("value", "^﻿", ""), f"{field} array<struct<{item}>>").alias("m"))
+    return parse_manifest(spark.read.text(path, wholetext=True), item, field)
+
+
+def parse_manifest(texts: DataFrame, item: str, field: str = "sections") -> DataFrame:
+    """read_manifest for texts that are at hand: value."""
+    t = texts.select(F.from_json(F.regexp_replace("value", "^﻿", ""), f"{field} array<struct<{item}>>").alias("m"))
     return t.select(F.inline(F.col(f"m.{field}")))
 
 
+def read_pdf(spark: SparkSession, path: str, library: str = "pdfplumber") -> DataFrame:
+    """Words of PDF files with their geometry: path, page (from 1), x0, x1, top, size, text, and error for a file that can't be read. Needs a PDF library on the workers;
+    without it every file comes as one row with the error, so that none is lost unseen."""
+    src = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content")
+    out = "path string, page int, x0 double, x1 double, top double, size double, text string, error string"
+    names = [x.split()[0] for x in out.split(", ")]
+    kinds = [pa.string(), pa.int32(), *[pa.float64()] * 4, pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                try:
+                    with importlib.import_module(library).open(io.BytesIO(content)) as pdf:
+                        rows = [(name, n, float(w["x0"]), float(w["x1"]), float(w["top"]), float(w["size"]), w["text"], None) for n, page in enumerate(pdf.pages, 1) for w in page.extract_words(extra_attrs=["size"])]
+                except Exception as e:  # noqa: BLE001
+                    rows = [(name, *[None] * 6, f"{type(e).__name__}: {e}"[:200])]
+                cols = list(zip(*rows)) if rows else [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    return src.mapInArrow(run, out)
+
+
 def pages(df: DataFrame, key: str, text: str) -> DataFrame:
     """Texts whose pages are parted by form feeds: key, page (from 1), text."""
     return df.select(key, F.posexplode(F.split(text, "\f")).alias("p", "text")).select(key, (F.col("p") + 1).alias("page"), "text")
