@@ -196,16 +196,6 @@ def range_repeals(spark, d):
     return R.covered(r, "num", "catchline").join(s.select(F.col("num").alias("member")), "member", "left_anti").select("num", "catchline", "member")
 
 
-def repealed_ranges(spark, d):
-    """Numbers between two neighbouring repealed sections of a chapter that have no section of their own."""
-    s = table(spark, d, "sections").where("layer = 'hrs'").select("chapter", "num", "repealed").distinct().withColumn("n", F.regexp_extract("num", r"-(\d+)$", 1).try_cast("int")).where("n is not null")
-    w = Window.partitionBy("chapter").orderBy("n", "num")
-    r = s.groupBy("chapter", "num", "n").agg(F.max("repealed").alias("repealed")).withColumn("next", F.lead("n").over(w)).withColumn("next_repealed", F.lead("repealed").over(w))
-    r = r.where("repealed = 1 and next_repealed = 1 and next > n + 1").select("chapter", F.explode(F.sequence(F.col("n") + 1, F.col("next") - 1)).alias("k"))
-    out = r.select("chapter", F.concat_ws("-", "chapter", F.col("k").cast("string")).alias("num"))
-    return out.join(s.select("num"), "num", "left_anti").select("chapter", "num")
-
-
 def crosswalk_totals(spark, d):
     """Per attestation its edges, and the different sources, targets and acts."""
     e = table(spark, d, "edges")
@@ -334,10 +324,6 @@ SQL = {
  d AS (SELECT x.user_id, x.i, (SELECT count(*) FROM k WHERE k.user_id = x.user_id AND (l <= x.i OR f > x.i)) AS difference FROM x JOIN n ON n.user_id = x.user_id WHERE x.i < n.n)
  SELECT user_id, arg_min(i, (difference, i)) AS split, min(difference) AS difference FROM d GROUP BY user_id""",
     "list_members": None,
-    "repealed_ranges": """WITH s AS (SELECT chapter, num, TRY_CAST(regexp_extract(num, '-([0-9]+)$', 1) AS INT) AS n, max(repealed) AS repealed FROM sections WHERE layer = 'hrs' GROUP BY 1, 2, 3),
- r AS (SELECT *, lead(n) OVER w AS nx, lead(repealed) OVER w AS nr FROM s WHERE n IS NOT NULL WINDOW w AS (PARTITION BY chapter ORDER BY n, num)),
- x AS (SELECT chapter, unnest(generate_series(n + 1, nx - 1)) AS k FROM r WHERE repealed = 1 AND nr = 1 AND nx > n + 1)
- SELECT chapter, chapter || '-' || k AS num FROM x WHERE chapter || '-' || k NOT IN (SELECT num FROM s WHERE num IS NOT NULL AND n IS NOT NULL)""",
     "find_words": "SELECT DISTINCT section_id, zone FROM zones WHERE list_contains(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+'), 'reasonable') AND list_contains(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+'), 'pasture')",
     "token_counts": "WITH t AS (SELECT section_id, zone, unnest(regexp_split_to_array(lower(body), '[^\\p{L}\\p{N}]+')) AS token FROM (SELECT DISTINCT * FROM zones)), c AS (SELECT section_id, zone, token, count(*) AS n FROM t WHERE token <> '' GROUP BY ALL) SELECT token, count(*) AS texts, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY token HAVING count(*) > 20",
     "short_documents": "WITH x AS (SELECT source, coalesce(length(text), 0) < 700 AS bad FROM documents), g AS (SELECT source, count(*) FILTER (bad) > greatest(2.0, count(*) * 0.30) AS q FROM x GROUP BY source) SELECT x.source, g.q AS quarantined, count(*) AS n FROM x JOIN g ON x.source IS NOT DISTINCT FROM g.source GROUP BY x.source, g.q",

@@ -217,7 +217,7 @@ SQL = {
     "repealed_flags": "WITH z AS (SELECT DISTINCT section_id, body FROM zones WHERE zone = 'operative'), s AS (SELECT DISTINCT id, catchline FROM sections) SELECT coalesce(regexp_matches(catchline, '(?i)^\\s*\\(?(repealed|reserved)\\b'), false) OR coalesce(contains(substr(body, 1, 180), 'REPEALED'), false) AS repealed, count(DISTINCT id) AS n FROM s LEFT JOIN z ON z.section_id = s.id GROUP BY 1",
     "display_names": """SELECT DISTINCT kind, target, CASE kind WHEN 'hrs_section' THEN 'HRS §' || regexp_replace(target, '^hrs:', '') WHEN 'har_section' THEN 'HAR §' || regexp_replace(target, '^har:', '')
  WHEN 'hrs_chapter' THEN 'HRS chapter ' || regexp_replace(target, '^(hrs:)?ch:', '') WHEN 'usc' THEN regexp_replace(target, '^usc:([0-9]+):(.*)$', '\\1 U.S.C. §\\2', 's') WHEN 'cfr' THEN regexp_replace(target, '^cfr:([0-9]+):(.*)$', '\\1 C.F.R. §\\2', 's')
- WHEN 'session_law' THEN regexp_replace(target, '^slh:([0-9]+):([0-9]+).*$', 'Act \\2, Session Laws \\1', 's') ELSE target END AS name FROM edge WHERE target IS NOT NULL""",
+ WHEN 'session_law' THEN regexp_replace(target, '^slh:([0-9]+):([0-9]+).*$', 'Act \\2, Session Laws \\1', 's') WHEN 'hi_const' THEN regexp_replace(target, '^hiconst:([IVXL]+):(.*)$', 'Haw. Const. art. \\1, §\\2', 's') ELSE target END AS name FROM edge WHERE target IS NOT NULL""",
     "page_tag_counts": "WITH s AS (SELECT id, max(unit_path) AS path, max(chapter) AS chapter, max(repealed) AS repealed FROM sections GROUP BY id), t AS (SELECT 'chapter/' || chapter AS tag FROM s UNION ALL SELECT 'part/' || lower(regexp_extract(path, '(?i)part\\s+([IVXLC]+)', 1)) FROM s WHERE path <> '' UNION ALL SELECT 'repealed' FROM s WHERE repealed = 1) SELECT tag, count(*) AS n FROM t GROUP BY tag",
     "acts_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'session_law' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS acts, max(regexp_extract(target, '^slh:([0-9]+):', 1)) AS last_year FROM n GROUP BY 1",
     "cases_on_sections": f"WITH n AS (SELECT *, {NUM.format(c='src')} AS num FROM edge WHERE kind = 'case' AND target IS NOT NULL AND src IS NOT NULL) SELECT {LAYER.format(c='src', n='num')} || ':' || num AS section_id, count(DISTINCT target) AS cases, min(target) AS first_case FROM n GROUP BY 1",
