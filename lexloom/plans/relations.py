@@ -38,7 +38,7 @@ def coverage(spark, d):
     u = table(spark, d, "units").distinct()
     n = table(spark, d, "sections").groupBy("layer").agg(F.count_distinct("chapter").alias("chapters_read"))
     c = u.groupBy("layer", "kind").agg(F.count(F.lit(1)).alias("units"), F.count_if(F.expr("repealed = 1")).alias("repealed"), F.count_if(F.expr("reserved = 1")).alias("reserved"))
-    return c.join(F.broadcast(n), "layer", "left").select("layer", "kind", "units", "repealed", "reserved", F.coalesce("chapters_read", F.lit(0)).alias("chapters_read"))
+    return c.join(n, "layer", "left").select("layer", "kind", "units", "repealed", "reserved", F.coalesce("chapters_read", F.lit(0)).alias("chapters_read"))
 
 
 def coverage_by_kind(spark, d):

@@ -91,6 +91,18 @@ def raw_citations(spark, d):
     return C.extract(e, ["edge_id"], "raw", "statute").groupBy("kind", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rule_citations(spark, d):
+    """Rules cited as printed, in lists and ranges (their ends), read as rule text: per rule."""
+    e = table(spark, d, "edge").where("kind = 'har_section'").select("edge_id", "raw")
+    return C.extract(e, ["edge_id"], "raw", "rule").where("kind = 'har_section'").groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("edge_id").alias("edges"))
+
+
+def opinion_citations(spark, d):
+    """Rules and chapters of rules cited in opinions, planted behind the raw citations, in the name space of rules."""
+    e = table(spark, d, "edge").where("kind = 'har_section'").select("edge_id", F.concat("raw", F.lit("; chapter 3-160 and section 11-1")).alias("raw"))
+    return C.extract(e, ["edge_id"], "raw", "opinion").where("kind in ('har_section', 'har_chapter')").groupBy("kind", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
 def authority_notes(spark, d):
     """What the authority notes cite, and how many of them leave a digit unread."""
     z = table(spark, d, "zones").where("zone in ('auth', 'imp')").select("section_id", "zone", "body").distinct()
@@ -237,6 +249,8 @@ SQL = {
  c AS (SELECT 'hrs_chapter' AS kind, 'ch:' || upper(regexp_extract(t, '(?i)\\bchapters?\\s+([0-9]+[A-Z]?)\\b', 1)) AS target FROM t WHERE regexp_matches(t, '(?i)\\bchapters?\\s+[0-9]+[A-Z]?\\b')
  UNION ALL SELECT CASE WHEN regexp_matches(t, 'U\\.S') THEN 'usc' ELSE 'cfr' END, CASE WHEN regexp_matches(t, 'U\\.S') THEN 'usc:' ELSE 'cfr:' END || regexp_extract(t, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9][\\w-]*)', 1) || ':' || regexp_extract(t, '([0-9]+)\\s+[UC]\\.[SF]\\.[CR]\\.\\s*(§+|parts?|sections?)?\\s*([0-9][\\w-]*)', 3) FROM t WHERE regexp_matches(t, '[0-9]+\\s+[UC]\\.[SF]\\.[CR]\\.'))
  SELECT kind, target, count(*) AS n FROM c GROUP BY 1, 2""",
+    "rule_citations": "WITH t AS (SELECT edge_id, unnest(regexp_extract_all(translate(raw, '‐‑‒–—―−', '-------'), '\\b[0-9]+-[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?\\b')) AS target FROM edge WHERE kind = 'har_section') SELECT target, count(*) AS n, count(DISTINCT edge_id) AS edges FROM t GROUP BY target",
+    "opinion_citations": "WITH t AS (SELECT 'har_section' AS kind, 'har:' || unnest(regexp_extract_all(translate(raw, '‐‑‒–—―−', '-------'), '\\b[0-9]+-[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?\\b')) AS target FROM edge WHERE kind = 'har_section' UNION ALL SELECT 'har_chapter', 'har:ch:3-160' FROM edge WHERE kind = 'har_section' AND raw IS NOT NULL) SELECT kind, target, count(*) AS n FROM t GROUP BY 1, 2",
     "authority_notes": """WITH z AS (SELECT DISTINCT section_id, zone, translate(body, '‐‑‒–—―−', '-------') AS t FROM zones WHERE zone IN ('auth', 'imp')),
  p AS (SELECT '(?i)[0-9]+\\s+U\\.?\\s?S\\.?\\s?C\\.?\\s*§*\\s*[0-9][\\w-]*|[0-9]+\\s+C\\.?\\s?F\\.?\\s?R\\.?\\s*(?:part|§)*\\s*[0-9][\\w-]*|P(?:ub)?\\.\\s?L\\.\\s*(?:No\\.\\s*)?[0-9]+-[0-9]+|\\b[0-9]+-[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|[0-9]{3}[A-Z]?:[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|[0-9]+[A-Z]?-[0-9]+(?:\\.[0-9]+)?|(?:chapters?|ch\\.)\\s*[0-9]+[A-Z]?' AS p),
  u AS (SELECT zone, unnest(regexp_extract_all(t, p)) AS v FROM z, p),
