@@ -18,12 +18,16 @@ def texts(spark: SparkSession, d: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2]).distinct()
 
 
+def _unified(spark: SparkSession, d: str, suspects_only: bool) -> DataFrame:
+    return unify(texts(spark, d), KEYS, "body", suspects_only).select(*KEYS, "text", differs(F.col("original"), F.col("text"), F.col("mixed")).alias("changed"))
+
+
 def p1_unified(spark: SparkSession, d: str) -> DataFrame:
-    return unify(texts(spark, d), KEYS, "body").select(*KEYS, "text", differs(F.col("original"), F.col("text"), F.col("mixed")).alias("changed"))
+    return _unified(spark, d, False)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return p1_unified(spark, d).where("changed").select(*KEYS).distinct()
+    return _unified(spark, d, True).where("changed").select(*KEYS).distinct()
 
 
 QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified}

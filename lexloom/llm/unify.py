@@ -14,6 +14,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexloom.session import durable
+
 # Cyrillic and Greek letters and the Latin letters that they look like.
 LOOK_ALIKE = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
@@ -168,7 +170,7 @@ def token_forms(tokens: DataFrame) -> DataFrame:
     return tokens.join(rebuilt, "rid", "left").select("token", F.coalesce("form", F.lit("")).alias("form"), F.coalesce("mixed", F.lit(False)).alias("mixed"))
 
 
-def unify(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def unify(df: DataFrame, keys: list[str], text: str, suspects_only: bool = False) -> DataFrame:
     """Each row with its text in one consistent form: keys, `original`, `text`, `mixed`.
 
     The form is NFKC without invisible formatting characters (category Cf), with U+0020 for every space separator and an
@@ -177,22 +179,24 @@ def unify(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     the okina, quotes and dashes stay. `mixed` says that the original holds a mixed word, also one that no table can mend.
 
     A null text stays null (mixed false), an empty one empty; repeated rows stay repeated, long texts are brought to the form whole.
-    The columns named in keys may have any names but `original`, `text` and `mixed`.
+    The columns named in keys may have any names but `original`, `text` and `mixed`. suspects_only leaves out the rows whose characters are all
+    of the stable set, which are in the form already. The others are written once, so that the source is read once for them.
     """
     base = df.select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"), F.col(f"`{text}`").alias("original"))
     keep = [F.col(f"_key.`{k}`").alias(k) for k in keys]
+    suspect = durable(base.where(F.col("original").rlike(SUSPECT)))
     sound = base.where(F.col("original").isNull() | ~F.col("original").rlike(SUSPECT)).select(*keep, "original", F.col("original").alias("text"), F.lit(False).alias("mixed"))
     # Each distinct text once: repeated texts are joined back by their own value. Nothing in the form reaches over an ASCII
     # blank, so that texts come apart there, and each distinct token that may differ is exploded to its code points once.
-    texts = base.where(F.col("original").rlike(SUSPECT)).select("original").distinct().withColumn("tid", F.struct(F.xxhash64("original"), F.md5("original")))
+    texts = suspect.select("original").distinct().withColumn("tid", F.struct(F.xxhash64("original"), F.md5("original")))
     tokens = texts.select("tid", F.posexplode(F.split("original", " ", -1)).alias("i", "token"))
     odd = tokens.where(F.col("token").rlike(SUSPECT))
     forms = token_forms(odd.select("token").distinct())
     parts = odd.join(forms, "token").select("tid", "i", "form", "mixed").unionByName(tokens.where(~F.col("token").rlike(SUSPECT)).select("tid", "i", F.col("token").alias("form"), F.lit(False).alias("mixed")))
     rebuilt = parts.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("i", "form"))).alias("m"), F.bool_or("mixed").alias("mixed"))
     done = texts.join(rebuilt.select("tid", F.array_join(F.transform("m", lambda m: m["form"]), " ").alias("text"), "mixed"), "tid").select("original", "text", "mixed")
-    changed = base.where(F.col("original").rlike(SUSPECT)).join(done, "original").select(*keep, "original", "text", "mixed")
-    return sound.unionByName(changed)
+    changed = suspect.join(done, "original").select(*keep, "original", "text", "mixed")
+    return changed if suspects_only else sound.unionByName(changed)
 
 
 def differs(original: Column, text: Column, mixed: Column) -> Column:
